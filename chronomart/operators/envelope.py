@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronomart.functions.payload import field, normalize_op
 from chronomart.functions.times import capture_date
-from chronomart.schemas import CONNECTOR, CORRUPT, ENVELOPE, OPERATIONS, ROW_IMAGE
+from chronomart.schemas import CONNECTOR, CORRUPT, ENVELOPE, OPERATIONS, ROW_IMAGE, extend
 
 FIELDS = ENVELOPE.fieldNames()
 
@@ -19,7 +20,7 @@ def image(text: Column) -> Column:
 
 def parse_envelope(df: DataFrame, col: str = "value") -> DataFrame:
     """JSON text to envelope columns; text that is no JSON object is kept in ``_corrupt_record``."""
-    schema = ENVELOPE.add(CORRUPT, "string")
+    schema = extend(ENVELOPE, **{CORRUPT: T.StringType()})
     parsed = F.from_json(
         F.col(col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
@@ -94,7 +95,7 @@ def payload(df: DataFrame) -> DataFrame:
 def check_invariants(df: DataFrame) -> DataFrame:
     """Count per table and operation of images that the operation should not, or should, have."""
     op = normalize_op(F.col("operation"))
-    before, after = F.size("before") > 0, F.size("after") > 0
+    before, after = (F.coalesce(F.size(c) > 0, F.lit(False)) for c in ("before", "after"))
     rules = {
         "insert_with_before": (op == "insert") & before,
         "insert_without_after": (op == "insert") & ~after,

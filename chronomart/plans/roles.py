@@ -5,7 +5,7 @@ Every role covers whole tables. The SQL of the same roles is in ``oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronomart.operators.scd2 import Scd2
@@ -17,14 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def iso(ts: Column, offset_hours: int = 0) -> Column:
-    """ISO-8601 text of a UTC timestamp in a fixed offset."""
-    local = ts + F.make_dt_interval(hours=F.lit(offset_hours))
-    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(f"+{offset_hours:02d}:00"))
-
-
-def plus_days(ts: Column, days: int) -> Column:
-    return ts + F.make_dt_interval(days=F.lit(days))
+def iso(ts: str, offset_hours: int = 0) -> str:
+    """SQL for the ISO-8601 text of a UTC timestamp in a fixed offset."""
+    pattern = "yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS"
+    return f"concat(date_format({ts} + INTERVAL '{offset_hours}' HOUR, '{pattern}'), '+{offset_hours:02d}:00')"
 
 
 # events as a change log and as facts ----------------------------------------
@@ -33,30 +29,19 @@ USERS = Scd2(
     keys=["user_id"], tracked=["event_type"], valid_from="ts", tiebreak=["event_id"], key_name="user_key"
 )
 
-_EVENT_OPS = {"signup": "c", "error": "delete", "view": "u", "click": "update", "purchase": "insert"}
-
-
-def event_operation() -> Column:
-    pairs = [F.lit(x) for kv in _EVENT_OPS.items() for x in kv]
-    return F.element_at(F.create_map(*pairs), F.col("event_type"))
+_EVENT_ROW = "map('user_id', string(user_id), 'type', event_type, 'value', string(value))"
 
 
 def events_envelope(events: DataFrame) -> DataFrame:
     """Events as change events: purchases of orders, the rest of customers; errors are deletes."""
-    row = F.create_map(
-        F.lit("user_id"), F.col("user_id").cast("string"),
-        F.lit("type"), F.col("event_type"),
-        F.lit("value"), F.col("value").cast("string"),
-    )
-    gone = F.col("event_type") == "error"
-    old = gone | F.col("event_type").isin("view", "click")
-    return events.select(
-        F.when(F.col("event_type") == "purchase", "orders").otherwise("customers").alias("table"),
-        event_operation().alias("operation"),
-        F.when(old, row).alias("before"),
-        F.when(~gone, row).alias("after"),
-        iso(F.col("ts")).alias("captured_at"),
-        F.col("event_id").alias("change_id"),
+    return events.selectExpr(
+        "if(event_type = 'purchase', 'orders', 'customers') AS `table`",
+        "CASE event_type WHEN 'signup' THEN 'c' WHEN 'purchase' THEN 'insert' WHEN 'error' THEN 'delete' "
+        "WHEN 'view' THEN 'u' ELSE 'update' END AS operation",
+        f"if(event_type IN ('error', 'view', 'click'), {_EVENT_ROW}, NULL) AS before",
+        f"if(event_type <> 'error', {_EVENT_ROW}, NULL) AS after",
+        f"{iso('ts')} AS captured_at",
+        "event_id AS change_id",
     )
 
 
@@ -88,139 +73,134 @@ PRICES = Scd2(
 # the retail tables as one change log -----------------------------------------
 
 
-def _image(pairs: dict[str, Column]) -> Column:
-    return F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), v.cast("string"))])
-
-
-def _drop_key(image: Column, key: str, when: Column) -> Column:
-    return F.when(when, F.map_filter(image, lambda k, _: k != key)).otherwise(image)
+def _event(df: DataFrame, name: str, operation: str, image: dict[str, str], captured: str, change_id: str,
+           absent: tuple[str, str] | None = None) -> DataFrame:
+    """Rows of ``df`` as change events of one table; all arguments are SQL.
+
+    ``absent`` = (key, condition) leaves a key out of the image.
+    """
+    row = "map(" + ", ".join(f"'{key}', string({value})" for key, value in image.items()) + ")"
+    if absent:
+        row = f"if({absent[1]}, map_filter({row}, (k, v) -> k <> '{absent[0]}'), {row})"
+    gone = f"({operation}) IN ('delete', 'd')"
+    return df.selectExpr(
+        f"'{name}' AS `table`",
+        f"{operation} AS operation",
+        f"if({gone}, {row}, NULL) AS before",
+        f"if({gone}, NULL, {row}) AS after",
+        f"{captured} AS captured_at",
+        f"bigint({change_id}) AS change_id",
+    )
 
 
-def _event(df: DataFrame, name: str, operation: Column, image: Column, captured: Column, change_id: Column) -> DataFrame:
-    gone = operation.isin("delete", "d")
-    none = F.lit(None).cast("map<string,string>")
-    return df.select(
-        F.lit(name).alias("table"),
-        operation.alias("operation"),
-        F.when(gone, image).otherwise(none).alias("before"),
-        F.when(~gone, image).otherwise(none).alias("after"),
-        captured.alias("captured_at"),
-        change_id.cast("bigint").alias("change_id"),
-    )
+_START = iso(f"TIMESTAMP_NTZ '{START}'")
 
 
-def customers_log(customer: DataFrame, orders: DataFrame) -> DataFrame:
+def customers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers exist from ``START``; 30 days after an order its priority is their address."""
-    start = F.lit(START).cast("timestamp_ntz")
     new = _event(
-        customer, "customers", F.lit("c"),
-        _image({
-            "customer_id": F.col("c_custkey"),
-            "name": F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")),
-            "email": F.concat(F.lit(" "), F.upper("c_name"), F.lit("@Example.COM")),
-            "address": F.concat(F.col("c_mktsegment"), F.lit(" ")),
-            "created_at": iso(start),
-            "updated_at": iso(start),
-        }),
-        iso(start), F.col("c_custkey"),
+        table(spark, sf_dir, "customer"), "customers", "'c'",
+        {
+            "customer_id": "c_custkey", "name": "concat('  ', c_name, ' ')",
+            "email": "concat(' ', upper(c_name), '@Example.COM')", "address": "concat(c_mktsegment, ' ')",
+            "created_at": _START, "updated_at": _START,
+        },
+        _START, "c_custkey",
     )
-    moved_at = plus_days(F.col("o_orderdate"), 30)
-    name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    moved_at = "o_orderdate + INTERVAL '30' DAY"
+    name = "concat('Customer#', lpad(string(o_custkey), 9, '0'))"
     moved = _event(
-        orders, "customers", F.lit("update"),
-        _image({
-            "customer_id": F.col("o_custkey"),
-            "name": name,
-            "email": F.concat(name, F.lit("@example.com")),
-            "address": F.concat(F.lit(" "), F.col("o_orderpriority")),
-            "created_at": iso(start),
-            "updated_at": F.when(F.col("o_orderstatus") == "P", "").otherwise(iso(moved_at, 2)),
-        }),
-        iso(moved_at), F.lit(10_000_000_000) + F.col("o_orderkey"),
+        table(spark, sf_dir, "orders"), "customers", "'update'",
+        {
+            "customer_id": "o_custkey", "name": name, "email": f"concat({name}, '@example.com')",
+            "address": "concat(' ', o_orderpriority)", "created_at": _START,
+            "updated_at": f"if(o_orderstatus = 'P', '', {iso(moved_at, 2)})",
+        },
+        iso(moved_at), "10000000000 + o_orderkey",
     )
     return new.unionByName(moved)
 
 
-def products_log(part: DataFrame, lineitem: DataFrame) -> DataFrame:
+def products_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products exist from ``START``; a shipment sets their price and category."""
-    start = F.lit(START).cast("timestamp_ntz")
     new = _event(
-        part, "products", F.lit("insert"),
-        _image({
-            "product_id": F.col("p_partkey"), "name": F.col("p_name"), "category": F.col("p_brand"),
-            "price": F.col("p_retailprice"), "updated_at": iso(start),
-        }),
-        iso(start), F.col("p_partkey"),
+        table(spark, sf_dir, "part"), "products", "'insert'",
+        {
+            "product_id": "p_partkey", "name": "p_name", "category": "p_brand", "price": "p_retailprice",
+            "updated_at": _START,
+        },
+        _START, "p_partkey",
     )
-    image = _image({
-        "product_id": F.col("l_partkey"), "name": F.concat(F.lit("Part "), F.col("l_partkey").cast("string")),
-        "category": F.concat(F.lit(" "), F.col("l_returnflag"), F.lit(" ")),
-        "price": F.col("l_discount"), "updated_at": iso(F.col("l_shipdate")),
-    })
     shipped = _event(
-        lineitem, "products", F.lit("u"), _drop_key(image, "price", F.col("l_tax") == 0),
-        iso(F.col("l_shipdate")), F.lit(10_000_000_000) + F.col("l_orderkey") * 8 + F.col("l_linenumber"),
+        table(spark, sf_dir, "lineitem"), "products", "'u'",
+        {
+            "product_id": "l_partkey", "name": "concat('Part ', l_partkey)",
+            "category": "concat(' ', l_returnflag, ' ')", "price": "l_discount", "updated_at": iso("l_shipdate"),
+        },
+        iso("l_shipdate"), "10000000000 + l_orderkey * 8 + l_linenumber", absent=("price", "l_tax = 0"),
     )
     return new.unionByName(shipped)
 
 
-def order_status() -> Column:
-    return (
-        F.when(F.col("o_orderstatus") == "F", "Delivered")
-        .when(F.col("o_orderstatus") == "O", " shipped")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "cancelled")
-        .otherwise("PENDING ")
-    )
+_STATUS = (
+    "CASE WHEN o_orderstatus = 'F' THEN 'Delivered' WHEN o_orderstatus = 'O' THEN ' shipped' "
+    "WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'cancelled' ELSE 'PENDING ' END"
+)
 
 
-def orders_log(orders: DataFrame) -> DataFrame:
+def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order arrives as pending and has its final state three days later."""
+    orders = table(spark, sf_dir, "orders")
 
-    def image(status: Column) -> Column:
-        return _image({
-            "order_id": F.col("o_orderkey"), "customer_id": F.col("o_custkey"),
-            "order_date": iso(F.col("o_orderdate"), 3), "status": status, "total_amount": F.col("o_totalprice"),
-        })
+    def image(status: str) -> dict[str, str]:
+        return {
+            "order_id": "o_orderkey", "customer_id": "o_custkey", "order_date": iso("o_orderdate", 3),
+            "status": status, "total_amount": "o_totalprice",
+        }
 
-    placed = _event(
-        orders, "orders", F.lit("insert"), image(F.lit("pending")), iso(F.col("o_orderdate")), F.col("o_orderkey") * 2
-    )
+    placed = _event(orders, "orders", "'insert'", image("'pending'"), iso("o_orderdate"), "o_orderkey * 2")
     settled = _event(
-        orders, "orders", F.lit("u"), image(order_status()), iso(plus_days(F.col("o_orderdate"), 3)),
-        F.col("o_orderkey") * 2 + 1,
+        orders, "orders", "'u'", image(_STATUS), iso("o_orderdate + INTERVAL '3' DAY"), "o_orderkey * 2 + 1"
     )
     return placed.unionByName(settled)
 
 
-def order_items_log(lineitem: DataFrame) -> DataFrame:
+def order_items_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines; a line number used twice is an update, a returned line a delete."""
-    image = _image({
-        "order_item_id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
-        "order_id": F.col("l_orderkey"), "product_id": F.col("l_partkey"),
-        "quantity": F.col("l_quantity"), "unit_price": F.col("l_extendedprice"),
-    })
-    operation = F.when(F.col("l_returnflag") == "R", "delete").otherwise("insert")
     return _event(
-        lineitem, "order_items", operation, _drop_key(image, "quantity", F.col("l_tax") == 0),
-        iso(F.col("l_shipdate")), F.col("l_partkey"),
+        table(spark, sf_dir, "lineitem"), "order_items", "if(l_returnflag = 'R', 'delete', 'insert')",
+        {
+            "order_item_id": "l_orderkey * 8 + l_linenumber", "order_id": "l_orderkey", "product_id": "l_partkey",
+            "quantity": "l_quantity", "unit_price": "l_extendedprice",
+        },
+        iso("l_shipdate"), "l_partkey", absent=("quantity", "l_tax = 0"),
     )
 
 
-def inventory_log(lineitem: DataFrame) -> DataFrame:
-    image = _image({
-        "product_id": F.col("l_partkey"), "warehouse_id": F.concat(F.lit("W"), F.col("l_suppkey").cast("string")),
-        "stock_level": F.col("l_quantity"), "updated_at": iso(F.col("l_shipdate")),
-    })
+def inventory_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event(
-        lineitem, "inventory", F.lit("update"), _drop_key(image, "stock_level", F.col("l_tax") == 0),
-        iso(F.col("l_shipdate")), F.col("l_orderkey") * 8 + F.col("l_linenumber"),
+        table(spark, sf_dir, "lineitem"), "inventory", "'update'",
+        {
+            "product_id": "l_partkey", "warehouse_id": "concat('W', l_suppkey)", "stock_level": "l_quantity",
+            "updated_at": iso("l_shipdate"),
+        },
+        iso("l_shipdate"), "l_orderkey * 8 + l_linenumber", absent=("stock_level", "l_tax = 0"),
     )
 
 
-def retail_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five tables, one log. A filter on ``table`` prunes the branches of the others."""
-    customer, part, orders, lineitem = (table(spark, sf_dir, t) for t in ("customer", "part", "orders", "lineitem"))
-    log = customers_log(customer, orders)
-    for more in (products_log(part, lineitem), orders_log(orders), order_items_log(lineitem), inventory_log(lineitem)):
+LOGS = {
+    "customers": customers_log,
+    "products": products_log,
+    "orders": orders_log,
+    "order_items": order_items_log,
+    "inventory": inventory_log,
+}
+
+
+def retail_log(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """The change log of the named retail tables, of all five by default."""
+    parts = [LOGS[name](spark, sf_dir) for name in names or LOGS]
+    log = parts[0]
+    for more in parts[1:]:
         log = log.unionByName(more)
     return log

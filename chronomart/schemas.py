@@ -45,22 +45,31 @@ _CONNECTOR_BODY = [
 ]
 CONNECTOR = T.StructType(_CONNECTOR_BODY + [T.StructField("payload", T.StructType(_CONNECTOR_BODY))])
 
+def struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+def extend(schema: T.StructType, **columns: T.DataType) -> T.StructType:
+    """A new schema; ``StructType.add`` would change the given one."""
+    return T.StructType(schema.fields + struct(**columns).fields)
+
+
+_INT, _TEXT, _TIME = T.IntegerType(), T.StringType(), T.TimestampType()
+
 SOURCE_TABLES = {
-    "customers": T.StructType.fromDDL(
-        "customer_id int, name string, email string, address string, created_at timestamp, updated_at timestamp"
-    ),
-    "products": T.StructType.fromDDL(
-        "product_id int, name string, category string, price decimal(10,2), updated_at timestamp"
+    "customers": struct(
+        customer_id=_INT, name=_TEXT, email=_TEXT, address=_TEXT, created_at=_TIME, updated_at=_TIME
     ),
-    "orders": T.StructType.fromDDL(
-        "order_id int, customer_id int, order_date timestamp, status string, total_amount decimal(12,2)"
+    "products": struct(
+        product_id=_INT, name=_TEXT, category=_TEXT, price=T.DecimalType(10, 2), updated_at=_TIME
     ),
-    "order_items": T.StructType.fromDDL(
-        "order_item_id int, order_id int, product_id int, quantity int, unit_price decimal(10,2)"
+    "orders": struct(
+        order_id=_INT, customer_id=_INT, order_date=_TIME, status=_TEXT, total_amount=T.DecimalType(12, 2)
     ),
-    "inventory": T.StructType.fromDDL(
-        "product_id int, warehouse_id string, stock_level int, updated_at timestamp"
+    "order_items": struct(
+        order_item_id=_INT, order_id=_INT, product_id=_INT, quantity=_INT, unit_price=T.DecimalType(10, 2)
     ),
+    "inventory": struct(product_id=_INT, warehouse_id=_TEXT, stock_level=_INT, updated_at=_TIME),
 }
 
 TABLE_KEYS = {

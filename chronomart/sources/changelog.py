@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from chronomart.functions.times import utc_now
 from chronomart.operators.envelope import FIELDS, with_capture_date
-from chronomart.schemas import CORRUPT, ENVELOPE, SOURCE_TABLES
+from chronomart.schemas import CORRUPT, ENVELOPE, SOURCE_TABLES, extend
 
-STORED = ENVELOPE.add("event_date", "date")
+STORED = extend(ENVELOPE, event_date=T.DateType())
 PARTITIONS = ["table", "event_date"]
 
 
@@ -44,7 +44,7 @@ def read_changes(
     if fmt != "json":
         raise ValueError(f"fmt must be parquet or json, not {fmt!r}")
     folder = path if table is None else f"{path.rstrip('/')}/{table}"
-    schema = ENVELOPE if malformed == "fail" else T.StructType(ENVELOPE.fields + [T.StructField(CORRUPT, T.StringType())])
+    schema = ENVELOPE if malformed == "fail" else extend(ENVELOPE, **{CORRUPT: T.StringType()})
     if not _exists(spark, folder):
         return _empty(spark, schema)
     reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")

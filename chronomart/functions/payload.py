@@ -24,7 +24,8 @@ def get_or(image: Column, key: str, cast, default) -> Column:
 
     A key that is present but NULL or not castable gives NULL, for quarantine.
     """
-    return F.when(F.map_contains_key(image, key), cast(field(image, key))).otherwise(F.lit(default))
+    value = field(image, key)
+    return F.when(value.isNotNull(), cast(value)).when(~F.map_contains_key(image, key), F.lit(default))
 
 
 def first_truthy(*texts: Column) -> Column:
@@ -37,8 +38,10 @@ def to_double(text: Column) -> Column:
 
 
 def _whole(text: Column, fit, kind: str) -> Column:
+    # Decimal text is told apart first: a failing integer cast costs an exception per row.
     text = F.trim(text)
-    return F.coalesce(text.try_cast(kind), fit(text.try_cast("double")).try_cast(kind))
+    decimal = text.contains(".") | F.lower(text).contains("e")
+    return F.when(decimal, fit(text.try_cast("double")).try_cast(kind)).otherwise(text.try_cast(kind))
 
 
 def to_id(text: Column) -> Column:

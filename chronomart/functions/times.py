@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_ZONE = r"(Z|z|[+-]\d{2}(:?\d{2})?)\s*$"
-_CLOCK = r"\d{2}:\d{2}"
+# Names under which a session zone is plain UTC.
+_UTC = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "+00:00"}
 
 
-def _instant(text: Column) -> Column:
-    return F.try_to_timestamp(text)
+def _session_is_utc() -> bool:
+    return SparkSession.active().conf.get("spark.sql.session.timeZone") in _UTC
 
 
 def parse_ts(text: Column) -> Column:
@@ -18,11 +18,12 @@ def parse_ts(text: Column) -> Column:
 
     Text with an offset is moved to UTC, text without one is taken as UTC.
     """
-    text = F.trim(text)
-    zoned = text.rlike(_CLOCK) & text.rlike(_CLOCK + ".*" + _ZONE)
-    shifted = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), _instant(text).cast("timestamp_ntz")
-    )
+    instant = text.try_cast("timestamp").cast("timestamp_ntz")
+    if _session_is_utc():
+        return instant
+    clock = F.substring(F.trim(text), 12, 40)
+    zoned = F.upper(clock).endswith("Z") | clock.contains("+") | clock.contains("-")
+    shifted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant)
     return F.when(zoned, shifted).otherwise(text.try_cast("timestamp_ntz"))
 
 

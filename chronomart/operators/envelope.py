@@ -19,12 +19,15 @@ def image(text: Column) -> Column:
 
 
 def parse_envelope(df: DataFrame, col: str = "value") -> DataFrame:
-    """JSON text to envelope columns; text that is no JSON object is kept in ``_corrupt_record``."""
+    """JSON text to envelope columns; text that is no JSON object is kept in ``_corrupt_record``.
+
+    ``inline`` keeps later filters above the parser, so each text is parsed once.
+    """
     schema = extend(ENVELOPE, **{CORRUPT: T.StringType()})
     parsed = F.from_json(
         F.col(col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return df.filter(F.trim(col) != "").select(parsed.alias("_e")).select("_e.*")
+    return df.filter(F.trim(col) != "").select(F.inline(F.array(parsed)))
 
 
 def from_change_table(df: DataFrame) -> DataFrame:
@@ -46,7 +49,7 @@ def from_connector(df: DataFrame, col: str = "value", snapshot_op: str | None =
     snapshot (``op = r``) become ``snapshot_op``; NULL text (a tombstone) is no event.
     """
     message = F.from_json(F.col(col), CONNECTOR)
-    df = df.filter(F.col(col).isNotNull()).select(message.alias("_m"))
+    df = df.filter(F.col(col).isNotNull()).select(F.explode(F.array(message)).alias("_m"))
     body = {
         name: F.coalesce(F.col(f"_m.{name}"), F.col(f"_m.payload.{name}"))
         for name in ("before", "after", "source", "op", "ts_ms")
@@ -88,8 +91,13 @@ def payload_column() -> Column:
 
 
 def payload(df: DataFrame) -> DataFrame:
-    """Adds ``payload``; events without any image are no rows."""
-    return df.withColumn("payload", payload_column()).filter(F.col("payload").isNotNull())
+    """Adds ``payload``; events without any image are no rows.
+
+    Exploding the one image, rather than filtering on it, keeps Catalyst from
+    computing it again in a pushed-down filter. NULL explodes to no row.
+    """
+    one = F.when(F.size("after") > 0, F.array("after")).when(F.size("before") > 0, F.array("before"))
+    return df.select("*", F.explode(one).alias("payload"))
 
 
 def check_invariants(df: DataFrame) -> DataFrame:

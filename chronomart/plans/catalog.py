@@ -79,9 +79,15 @@ def product_dim(spark, sf) -> DataFrame:
     return scd2.dim_products_scd2(view(spark, sf, "stg_products"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A model as its readers see it: a stored table, computed once."""
+    return changelog.refresh(df, new_path(df.sparkSession, name))
+
+
 def order_facts(spark, sf, method: str = "auto") -> DataFrame:
     return facts.fct_orders(
-        view(spark, sf, "stg_orders"), view(spark, sf, "stg_order_items"), customer_dim(spark, sf), method
+        view(spark, sf, "stg_orders"), view(spark, sf, "stg_order_items"),
+        stored(customer_dim(spark, sf), "dim-customers"), method,
     )
 
 
@@ -604,7 +610,7 @@ def _(spark, sf):
 SELECT f.order_id, f.customer_id, f.customer_key, c.address, c.is_current, f.total_amount
 FROM fct f JOIN dim_customers c ON f.customer_key = c.customer_key WHERE f.status IN ('delivered', 'shipped')""")
 def _(spark, sf):
-    dim = customer_dim(spark, sf)
+    dim = stored(customer_dim(spark, sf), "dim-customers")
     fct = facts.fct_orders(view(spark, sf, "stg_orders"), view(spark, sf, "stg_order_items"), dim)
     fct = fct.filter(F.col("status").isin("delivered", "shipped"))
     out = joins.resolve(fct, dim, "customer_key", ["address", "is_current"])
@@ -636,7 +642,8 @@ LEFT JOIN dim_products p ON i.product_id = p.product_id AND r.order_date >= p.va
   AND (r.order_date < p.valid_to OR p.valid_to IS NULL)""")
 def _(spark, sf):
     return facts.fct_order_items(
-        view(spark, sf, "stg_order_items"), view(spark, sf, "stg_orders"), product_dim(spark, sf)
+        view(spark, sf, "stg_order_items"), view(spark, sf, "stg_orders"),
+        stored(product_dim(spark, sf), "dim-products"),
     )
 
 

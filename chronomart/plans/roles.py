@@ -34,13 +34,14 @@ _EVENT_ROW = "map('user_id', string(user_id), 'type', event_type, 'value', strin
 
 def events_envelope(events: DataFrame) -> DataFrame:
     """Events as change events: purchases of orders, the rest of customers; errors are deletes."""
-    return events.selectExpr(
+    rows = events.selectExpr("event_id", "event_type", f"{_EVENT_ROW} AS row", f"{iso('ts')} AS captured_at")
+    return rows.selectExpr(
         "if(event_type = 'purchase', 'orders', 'customers') AS `table`",
         "CASE event_type WHEN 'signup' THEN 'c' WHEN 'purchase' THEN 'insert' WHEN 'error' THEN 'delete' "
         "WHEN 'view' THEN 'u' ELSE 'update' END AS operation",
-        f"if(event_type IN ('error', 'view', 'click'), {_EVENT_ROW}, NULL) AS before",
-        f"if(event_type <> 'error', {_EVENT_ROW}, NULL) AS after",
-        f"{iso('ts')} AS captured_at",
+        "if(event_type IN ('error', 'view', 'click'), row, NULL) AS before",
+        "if(event_type <> 'error', row, NULL) AS after",
+        "captured_at",
         "event_id AS change_id",
     )
 
@@ -79,17 +80,20 @@ def _event(df: DataFrame, name: str, operation: str, image: dict[str, str], capt
 
     ``absent`` = (key, condition) leaves a key out of the image.
     """
-    row = "map(" + ", ".join(f"'{key}', string({value})" for key, value in image.items()) + ")"
-    if absent:
-        row = f"if({absent[1]}, map_filter({row}, (k, v) -> k <> '{absent[0]}'), {row})"
-    gone = f"({operation}) IN ('delete', 'd')"
-    return df.selectExpr(
+    def row_image(left_out: str | None = None) -> str:
+        return "map(" + ", ".join(f"'{k}', string({v})" for k, v in image.items() if k != left_out) + ")"
+
+    row = f"if({absent[1]}, {row_image(absent[0])}, {row_image()})" if absent else row_image()
+    rows = df.selectExpr(
+        f"{operation} AS operation", f"{row} AS row", f"{captured} AS captured_at", f"bigint({change_id}) AS change_id"
+    )
+    return rows.selectExpr(
         f"'{name}' AS `table`",
-        f"{operation} AS operation",
-        f"if({gone}, {row}, NULL) AS before",
-        f"if({gone}, NULL, {row}) AS after",
-        f"{captured} AS captured_at",
-        f"bigint({change_id}) AS change_id",
+        "operation",
+        "if(operation IN ('delete', 'd'), row, NULL) AS before",
+        "if(operation IN ('delete', 'd'), NULL, row) AS after",
+        "captured_at",
+        "change_id",
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -370,6 +369,3 @@ def no_overlap(
         )
     )
 
-
-def any_broken(rules: Sequence[RowExpectation], df: DataFrame) -> Column:
-    return reduce(lambda a, b: a | b, [r.broken(df) for r in rules])

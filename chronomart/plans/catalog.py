@@ -115,21 +115,15 @@ FROM changes WHERE "table" = 'orders' GROUP BY operation""")
 def _(spark, sf):
     """JSON lines, one folder per table; one folder is read back."""
     path = new_path(spark, "json-bronze")
+    log = roles.events_envelope(events(spark, sf))
     for name in ("orders", "customers"):
-        rows = envelope.route(roles.events_envelope(events(spark, sf)), name)
-        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{path}/{name}/part.jsonl")
-    back = _read_json_folder(spark, path, "orders")
-    good, _bad = envelope.validate_envelope(back)
+        envelope.route(log, name).write.json(f"{path}/{name}")
+    good, _bad = envelope.validate_envelope(changelog.read_changes(spark, path, "orders", fmt="json"))
     return good.groupBy("operation").agg(
         F.count(F.lit(1)).alias("events"), F.max("change_id").alias("last_change")
     )
 
 
-def _read_json_folder(spark, path, table):
-    reader = spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).option("mode", "FAILFAST")
-    return reader.json(f"{path}/{table}")
-
-
 @query("bronze_write_read", "K1 S2 E11", f"""
 WITH {o.CHANGES}
 SELECT "table", CAST(ts AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS events FROM changes

@@ -31,7 +31,8 @@ def read_changes(
     """Change events below ``path``; a missing folder is an empty log.
 
     ``parquet``  the layout of ``write_bronze``: ``table=`` reads one folder.
-    ``json``     ``<table>/<date>.jsonl`` files, one event per line, blank lines skipped.
+    ``json``     one folder per table with ``.json`` or ``.jsonl`` files, one event per line,
+    blank lines skipped.
     ``malformed`` ``fail`` stops the read at a bad line; ``keep`` adds the line as
     ``_corrupt_record`` for ``validate_envelope``.
     """
@@ -47,7 +48,7 @@ def read_changes(
     schema = ENVELOPE if malformed == "fail" else extend(ENVELOPE, **{CORRUPT: T.StringType()})
     if not _exists(spark, folder):
         return _empty(spark, schema)
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*")
     if malformed == "fail":
         reader = reader.option("mode", "FAILFAST")
     else:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronomart.functions.payload import surrogate_key
-from chronomart.operators.joins import fk_join_keys
-from chronomart.operators.ordered import HOT_ROWS, Groups, per_group
+from chronomart.operators.ordered import HOT_ROWS, Groups, null_safe_on, per_group
 
 
 @dataclass(frozen=True)
@@ -65,9 +64,11 @@ def _input(events: DataFrame, spec: Scd2) -> DataFrame:
 
 def detect_changes(groups: Groups, spec: Scd2) -> Groups:
     """Keeps the first event of a key and every change of a tracked column."""
-    watched = spec.tracked + ([_GONE] if spec.deletes == "close" else [])
-    groups = groups.previous(watched, _PREV)
-    return groups.filter(_is_change(spec))
+    return groups.previous(_watched(spec), _PREV).filter(_is_change(spec))
+
+
+def _watched(spec: Scd2) -> list[str]:
+    return spec.tracked + ([_GONE] if spec.deletes == "close" else [])
 
 
 def _is_change(spec: Scd2) -> Column:
@@ -173,22 +174,62 @@ def version_delta(
     return out.withColumn("delta", F.col(column) - F.col(before)).drop(_PREV, before)
 
 
-def rebuild_keys(existing: DataFrame, events: DataFrame, touched: DataFrame, spec: Scd2, **limits) -> DataFrame:
-    """Dimension after new events: touched keys are rebuilt from their events, others kept.
+_SEED = "_seed"
+_SINCE = "_since"
+_END_OF_TIME = "9999-12-31 00:00:00"
+
+
+def touched_keys(new_events: DataFrame, spec: Scd2) -> DataFrame:
+    """The keys of new events with the earliest time they change."""
+    earliest = F.coalesce(F.min(spec.valid_from), F.lit(_END_OF_TIME).cast("timestamp_ntz"))
+    return new_events.groupBy(*spec.keys).agg(earliest.alias(_SINCE))
+
+
+def update_versions(
+    existing: DataFrame, events: DataFrame, touched: DataFrame, spec: Scd2, hot_rows: int | None = HOT_ROWS, **limits
+) -> DataFrame:
+    """Dimension after new events; ``events`` holds all of them, ``touched`` comes from ``touched_keys``.
 
-    ``events`` holds all events, the new ones included; ``touched`` the distinct
-    keys of the new ones. A late event lands where its time puts it.
+    Whether an event opens a version depends on the event before it and on nothing
+    earlier. So a touched key is rebuilt from its earliest change on, seeded with
+    the one event before that; older versions stay, except that the last of them
+    ends where the rebuilt part says. Late events land where their time puts them.
     """
-    again = fk_join_keys(events, touched, spec.keys, "left_semi")
-    kept = fk_join_keys(existing, touched, spec.keys, "left_anti")
-    return kept.select(*spec.columns).unionByName(scd2(again, spec, **limits).select(*spec.columns))
+    names = {k: f"_r{i}" for i, k in enumerate(spec.keys)}
+    since = touched.select(*[F.col(k).alias(n) for k, n in names.items()], _SINCE)
+    rows = _input(events, spec)
+    rows = rows.join(since, null_safe_on(rows, since, list(names.items()))).drop(*names.values())
+    start = F.col(spec.valid_from)
+    tail = rows.filter(start.isNull() | (start >= F.col(_SINCE))).withColumn(_SEED, F.lit(False))
+    # The reverse of the version order; the rank limit runs before the exchange.
+    newest = Window.partitionBy(*spec.keys).orderBy(*[F.col(c).desc_nulls_first() for c in spec.order])
+    seeds = rows.filter(start < F.col(_SINCE)).withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
+    seeds = seeds.drop("_n").withColumn(_SEED, F.lit(True))
+
+    def work(groups: Groups) -> Groups:
+        groups = groups.previous(_watched(spec), _PREV)
+        return close_windows(groups.filter(F.col(_SEED) | _is_change(spec)), spec)
+
+    rebuilt = per_group(tail.unionByName(seeds).drop(_SINCE), spec.keys, spec.order, work, hot_rows, **limits)
+    ends = rebuilt.filter(_SEED).select(
+        *[F.col(k).alias(f"_s{i}") for i, k in enumerate(spec.keys)], F.col("valid_to").alias("_end")
+    )
+    since = since.join(ends, null_safe_on(since, ends, [(f"_r{i}", f"_s{i}") for i in range(len(spec.keys))]), "left")
+    old = existing.select(*spec.columns)
+    old = old.join(since, null_safe_on(old, since, list(names.items())), "left")
+    known, born = F.col(_SINCE).isNotNull(), F.col("valid_from")
+    last = known & (F.col("valid_to").isNull() | (F.col("valid_to") >= F.col(_SINCE)))
+    kept = old.filter(~known | (born < F.col(_SINCE))).withColumn(
+        "valid_to", F.when(last, F.col("_end")).otherwise(F.col("valid_to"))
+    )
+    kept = kept.withColumn("is_current", F.col("valid_to").isNull()).select(*spec.columns)
+    return kept.unionByName(finish(rebuilt.filter(~F.col(_SEED)), spec).select(*spec.columns))
 
 
 def scd2_update(
     existing: DataFrame, past_events: DataFrame, new_events: DataFrame, spec: Scd2, **limits
 ) -> DataFrame:
     """Incremental form of ``scd2``; equals the full build over past and new events."""
-    touched = new_events.select(*spec.keys).distinct()
     columns = [c for c in past_events.columns if c in new_events.columns]
     events = past_events.select(*columns).unionByName(new_events.select(*columns))
-    return rebuild_keys(existing, events, touched, spec, **limits)
+    return update_versions(existing, events, touched_keys(new_events, spec), spec, **limits)

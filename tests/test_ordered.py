@@ -98,14 +98,25 @@ def test_version_delta_and_no_overlap(spark):
     )
 
 
-def test_incremental_equals_full(spark):
-    for seed in (8, 9):
-        rows = log(spark, seed)
-        spec = scd2.Scd2(["k"], ["p", "q"], tiebreak=["change_id"])
-        old, new = rows.filter("change_id % 7 < 5"), rows.filter("change_id % 7 >= 5 AND k IN (1, 2)")
-        both = old.unionByName(new)
-        updated = scd2.scd2_update(scd2.scd2(old, spec), old, new, spec)
-        assert same(updated, scd2.scd2(both, spec))
+@pytest.mark.parametrize("deletes", ["keep", "drop", "close"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_incremental_equals_full(spark, deletes, null_safe):
+    rows = log(spark, 8)
+    spec = scd2.Scd2(["k"], ["p", "q"], tiebreak=["change_id"], deletes=deletes, null_safe=null_safe)
+    past = rows.filter("change_id < 300")
+    existing = scd2.scd2(past, spec)
+    batches = [
+        "change_id >= 300 AND change_id < 330",
+        "change_id >= 330 AND k IS NULL",
+        "change_id >= 330 AND k = 1 AND (valid_from > '2026-01-20' OR valid_from IS NULL)",
+        "change_id >= 330 AND k > 1",
+    ]
+    for n, condition in enumerate(batches):
+        new = rows.filter(condition)
+        existing = scd2.scd2_update(existing, past, new, spec, **(SMALL if n == 2 else {}))
+        existing = spark.createDataFrame(existing.collect(), existing.schema)
+        past = past.unionByName(new)
+        assert same(existing, scd2.scd2(past, spec)), condition
 
 
 def test_order_of_arrival_does_not_matter(spark):

@@ -18,7 +18,7 @@ from chronomart.plans import retail, roles
 from chronomart.schemas import ENVELOPE, ROW_IMAGE
 from chronomart.sources import changelog
 from chronomart.sources.scratch import new_path
-from chronomart.streaming.ingest import ONCE, dedupe_stream, gate_batch, ingest_stream
+from chronomart.streaming.ingest import ONCE, append_new, dedupe_stream, gate_batch, ingest_stream
 from chronomart.streaming.maintain import IncrementalWarehouse, maintain_stream
 from chronomart.streaming.windows import daily_sales_stream, read_windows, start_windows
 
@@ -1015,6 +1015,23 @@ def _(spark, sf):
     )
 
 
+@query("stream_append_new", "T2 T5", f"""
+WITH {o.CHANGES}
+SELECT "table", CAST(count(*) AS BIGINT) AS events, CAST(sum(change_id) AS BIGINT) AS id_sum FROM changes GROUP BY "table" """)
+def _(spark, sf):
+    """The whole log delivered in two streams: nothing is stored twice."""
+    path = new_path(spark, "stream-append")
+    for delivery in (1, 2):
+        log = roles.events_envelope(event_stream(spark, sf))
+        batch = append_new(f"{path}/bronze")
+        q = log.writeStream.option("checkpointLocation", f"{path}/checkpoint-{delivery}").foreachBatch(
+            lambda df, n, d=delivery, run=batch: run(df, n + 1000 * d)).trigger(**ONCE).start()
+        _finish(q)
+    return changelog.read_changes(spark, f"{path}/bronze").groupBy("table").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("change_id").alias("id_sum")
+    )
+
+
 @query("stream_gate", "T3 Q13", """
 SELECT event_type IN ('signup', 'view', 'click') AND value <= 200 AS accepted, event_type, CAST(count(*) AS BIGINT) AS events FROM events GROUP BY ALL""")
 def _(spark, sf):

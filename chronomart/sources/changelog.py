@@ -15,14 +15,27 @@ STORED = extend(ENVELOPE, event_date=T.DateType())
 PARTITIONS = ["table", "event_date"]
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    files, where = _folder(spark, path)
+    return files.exists(where)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes one partition folder of a table; nothing happens when there is none."""
+    files, where = _folder(spark, path)
+    files.delete(where, True)
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A partitioned Parquet table with a declared schema; empty when there is no folder."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.fieldNames())
 
 
 def read_changes(
@@ -37,17 +50,14 @@ def read_changes(
     ``_corrupt_record`` for ``validate_envelope``.
     """
     if fmt == "parquet":
-        if not _exists(spark, path):
-            return _empty(spark, STORED)
-        log = spark.read.schema(STORED).option("basePath", path).parquet(path)
-        log = log.select(*STORED.fieldNames())
+        log = read_stored(spark, path, STORED)
         return log if table is None else log.filter(F.col("table") == table)
     if fmt != "json":
         raise ValueError(f"fmt must be parquet or json, not {fmt!r}")
     folder = path if table is None else f"{path.rstrip('/')}/{table}"
     schema = ENVELOPE if malformed == "fail" else extend(ENVELOPE, **{CORRUPT: T.StringType()})
     if not _exists(spark, folder):
-        return _empty(spark, schema)
+        return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*")
     if malformed == "fail":
         reader = reader.option("mode", "FAILFAST")

@@ -9,7 +9,7 @@ from chronomart.operators import marts, quality
 from chronomart.plans import retail, roles
 from chronomart.schemas import ENVELOPE
 from chronomart.sources import changelog
-from chronomart.streaming.ingest import ONCE, dedupe_stream, gate_batch, ingest_stream
+from chronomart.streaming.ingest import ONCE, append_new, dedupe_stream, gate_batch, ingest_stream
 from chronomart.streaming.maintain import IncrementalWarehouse, maintain_stream
 from chronomart.streaming.windows import daily_sales_stream, read_windows, start_windows
 from tests import seed as s
@@ -59,6 +59,20 @@ def test_dedupe_across_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 413
 
 
+def test_append_new_is_exact_however_late(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    log = s.seed().frame(spark)
+    no_id = log.filter("change_id <= 3").withColumn("change_id", F.lit(None).cast("bigint"))
+    run = append_new(bronze)
+    run(log.filter("change_id > 100"), 0)
+    run(log.filter("change_id > 100"), 0)
+    run(log.filter("change_id <= 200").unionByName(no_id), 1)
+    run(log, 2)
+    stored = changelog.read_changes(spark, bronze)
+    assert stored.count() == 413
+    assert stored.select("change_id").distinct().count() == 411
+
+
 def test_gate_repeats_a_batch_in_place(spark, tmp_path):
     batch = spark.createDataFrame([(1, 5), (2, -5)], "id int, price int")
     gate = gate_batch([quality.Between("price", 0)], str(tmp_path / "ok"), str(tmp_path / "bad"))
@@ -108,11 +122,11 @@ def busy_log(spark, seed):
 def test_incremental_warehouse_equals_full_build(spark, tmp_path):
     log = busy_log(spark, 1)
     warehouse = IncrementalWarehouse(spark, str(tmp_path), buckets=3)
-    cuts = [0, 250, 400, 440, 10_000]
+    cuts = [0, 380, 430, 10_000]
     for n, (low, high) in enumerate(zip(cuts, cuts[1:])):
         batch = log.filter(f"change_id > {low} AND change_id <= {high}")
         warehouse.apply(batch, n)
-        if n == 2:
+        if n == 1:
             warehouse.apply(batch, n)
     good = log.filter("operation <> 'merge' AND NOT coalesce(after['price'] = 'free', false)")
     full = retail.build(good)

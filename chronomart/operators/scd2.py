@@ -96,19 +96,24 @@ def close_windows(groups: Groups, spec: Scd2) -> Groups:
     return groups.with_column("valid_to", F.col(f"{_NEXT}_{spec.valid_from}"))
 
 
-def finish(df: DataFrame, spec: Scd2) -> DataFrame:
-    if spec.deletes == "close":
-        df = df.filter(~F.col(_GONE))
+def _shown(spec: Scd2) -> dict[str, Column]:
+    """Columns of the finished dimension over the rows of ``close_windows``."""
     start = F.col(spec.valid_from)
-    return df.select(
-        surrogate_key([F.col(k) for k in spec.keys], start).alias(spec.key_name),
-        *spec.keys,
-        *spec.carried,
-        *spec.tracked,
-        start.alias("valid_from"),
-        "valid_to",
-        F.col("valid_to").isNull().alias("is_current"),
-    )
+    return {
+        spec.key_name: surrogate_key([F.col(k) for k in spec.keys], start),
+        **{c: F.col(c) for c in [*spec.keys, *spec.carried, *spec.tracked]},
+        "valid_from": start,
+        "valid_to": F.col("valid_to"),
+        "is_current": F.col("valid_to").isNull(),
+    }
+
+
+def _is_shown(spec: Scd2) -> Column:
+    return ~F.col(_GONE) if spec.deletes == "close" else F.lit(True)
+
+
+def finish(df: DataFrame, spec: Scd2) -> DataFrame:
+    return df.filter(_is_shown(spec)).select(*[value.alias(name) for name, value in _shown(spec).items()])
 
 
 def scd2(events: DataFrame, spec: Scd2, hot_rows: int | None = HOT_ROWS, **limits) -> DataFrame:
@@ -176,6 +181,7 @@ def version_delta(
 
 _SEED = "_seed"
 _SINCE = "_since"
+_LAST = "_last"
 _END_OF_TIME = "9999-12-31 00:00:00"
 
 
@@ -192,38 +198,49 @@ def update_versions(
 
     Whether an event opens a version depends on the event before it and on nothing
     earlier. So a touched key is rebuilt from its earliest change on, seeded with
-    the one event before that; older versions stay, except that the last of them
-    ends where the rebuilt part says. Late events land where their time puts them.
+    the one event before that. Older versions stay; the last of them travels with
+    the seed and gets its end there. Late events land where their time puts them.
     """
     names = {k: f"_r{i}" for i, k in enumerate(spec.keys)}
     since = touched.select(*[F.col(k).alias(n) for k, n in names.items()], _SINCE)
-    rows = _input(events, spec)
-    rows = rows.join(since, null_safe_on(rows, since, list(names.items()))).drop(*names.values())
-    start = F.col(spec.valid_from)
-    tail = rows.filter(start.isNull() | (start >= F.col(_SINCE))).withColumn(_SEED, F.lit(False))
+
+    def with_since(df: DataFrame, how: str) -> DataFrame:
+        return df.join(since, null_safe_on(df, since, list(names.items())), how).drop(*names.values())
+
+    old = with_since(existing.select(*spec.columns), "left")
+    known, start, end = F.col(_SINCE).isNotNull(), F.col("valid_from"), F.col("valid_to")
+    before = known & F.coalesce(start < F.col(_SINCE), F.lit(False))
+    is_last = before & (end.isNull() | (end >= F.col(_SINCE)))
+    kept = old.filter(~known | (before & ~is_last)).select(*spec.columns)
+    shown = [c for c in spec.columns if c not in ("valid_to", "is_current")]
+    last = old.filter(is_last).select(
+        *[F.col(k).alias(f"_l{i}") for i, k in enumerate(spec.keys)], F.struct(*shown).alias(_LAST)
+    )
+
+    rows = with_since(_input(events, spec), "inner")
+    at = F.col(spec.valid_from)
+    tail = rows.filter(at.isNull() | (at >= F.col(_SINCE))).drop(_SINCE).withColumn(_SEED, F.lit(False))
     # The reverse of the version order; the rank limit runs before the exchange.
     newest = Window.partitionBy(*spec.keys).orderBy(*[F.col(c).desc_nulls_first() for c in spec.order])
-    seeds = rows.filter(start < F.col(_SINCE)).withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
-    seeds = seeds.drop("_n").withColumn(_SEED, F.lit(True))
+    seeds = rows.filter(at < F.col(_SINCE)).drop(_SINCE)
+    seeds = seeds.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+    on_last = null_safe_on(seeds, last, [(k, f"_l{i}") for i, k in enumerate(spec.keys)])
+    seeds = seeds.join(last, on_last, "left").drop(*[f"_l{i}" for i in range(len(spec.keys))])
+    seeds = seeds.withColumn(_SEED, F.lit(True))
 
     def work(groups: Groups) -> Groups:
         groups = groups.previous(_watched(spec), _PREV)
         return close_windows(groups.filter(F.col(_SEED) | _is_change(spec)), spec)
 
-    rebuilt = per_group(tail.unionByName(seeds).drop(_SINCE), spec.keys, spec.order, work, hot_rows, **limits)
-    ends = rebuilt.filter(_SEED).select(
-        *[F.col(k).alias(f"_s{i}") for i, k in enumerate(spec.keys)], F.col("valid_to").alias("_end")
-    )
-    since = since.join(ends, null_safe_on(since, ends, [(f"_r{i}", f"_s{i}") for i in range(len(spec.keys))]), "left")
-    old = existing.select(*spec.columns)
-    old = old.join(since, null_safe_on(old, since, list(names.items())), "left")
-    known, born = F.col(_SINCE).isNotNull(), F.col("valid_from")
-    last = known & (F.col("valid_to").isNull() | (F.col("valid_to") >= F.col(_SINCE)))
-    kept = old.filter(~known | (born < F.col(_SINCE))).withColumn(
-        "valid_to", F.when(last, F.col("_end")).otherwise(F.col("valid_to"))
+    rebuilt = per_group(
+        tail.unionByName(seeds, allowMissingColumns=True), spec.keys, spec.order, work, hot_rows, **limits
     )
-    kept = kept.withColumn("is_current", F.col("valid_to").isNull()).select(*spec.columns)
-    return kept.unionByName(finish(rebuilt.filter(~F.col(_SEED)), spec).select(*spec.columns))
+    seed, stored = F.col(_SEED), F.col(_LAST)
+    columns = {
+        c: F.when(seed, stored[c]).otherwise(value) if c in shown else value for c, value in _shown(spec).items()
+    }
+    new = rebuilt.filter(F.when(seed, stored.isNotNull()).otherwise(_is_shown(spec)))
+    return kept.unionByName(new.select(*[value.alias(c) for c, value in columns.items()]))
 
 
 def scd2_update(

@@ -171,7 +171,7 @@ def test_maintain_stream(spark, tmp_path):
     log.coalesce(1).write.parquet(source)
     warehouse = IncrementalWarehouse(spark, str(tmp_path / "wh"), buckets=2)
     stream = spark.readStream.schema(ENVELOPE).parquet(source)
-    finish(maintain_stream(stream, warehouse, str(tmp_path / "ckpt"), ONCE))
+    finish(maintain_stream(stream, warehouse.apply, str(tmp_path / "ckpt"), ONCE))
     rows = [(str(r[0]), *r[1:]) for r in warehouse.tables()["agg_daily_sales"].collect()]
     assert sorted(rows) == s.daily_rows()
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import exact_dedup, mixing
+from chronomart.llm import exact_dedup, jaccard_join, mixing
 from chronomart.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", *[F.col(f"{mixing.ID}.{c}").alias(c) for c in ("size", "source_size", "target", "taken")])
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -31,6 +35,7 @@ FROM n WINDOW g AS (PARTITION BY norm)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL}

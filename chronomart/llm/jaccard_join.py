@@ -5,10 +5,12 @@ similarity must share one. Sets of equal prefix and size form a group. Groups th
 share prefix shingles are compared by size and by the number of shared prefix
 shingles; the groups that remain are expanded and their members verified.
 
-Nothing pairs all documents of a list: each member is first verified against the
-leader of a list that it shares most with; only members that are still in different
-components are paired after that. A pair inside one component would not change the
-result, so no link between components is lost.
+Nothing pairs all documents of a list. In rounds, each member is verified against
+one randomly chosen leader of a list, the one that it shares most with, and links
+merge components. Then only members that are still in different components are paired:
+the shorter prefix that suffices for the smaller set against the full prefix of the
+larger one. A pair inside one component would not change the result, so no link
+between components is lost. Rounds save work only; they stop when they find nothing.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ from chronomart.llm.shingles import mixed, shingle_set, word_hashes
 #: collisions only make the order, and so the candidates, worse, never the result.
 SKETCH_BITS = 20
 SEGMENT = 1 << 14
+#: Bits of the map that tells apart documents to be verified; beyond that many more are read than needed.
+BITMAP_BITS = 24
+ROUNDS = 6
 
 MARKS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("c1", T.LongType()),
@@ -38,7 +43,7 @@ PREFIXES = T.StructType([
     T.StructField("c2", T.LongType()), T.StructField("gid", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
 ])
 SETS = T.StructType([
-    T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType())),
+    T.StructField("c1", T.LongType()), T.StructField("c2", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType())),
 ])
 
 
@@ -116,19 +121,37 @@ def _prefix(k: int, percent: int, frequency):
     return run
 
 
-def _sets(k: int):
+def _bits(ids: np.ndarray) -> np.ndarray:
+    return (mixed(ids.astype(np.int64).view(np.uint64), 3) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _sets(k: int, bitmap):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        flags = bitmap.value
         for batch in batches:
-            rows = []
-            for node, text, c1, c2 in zip(batch["node"], batch["text"], batch["c1"], batch["c2"]):
-                s = shingle_set(word_hashes(text), k)
-                if digest(s) == (c1, c2):
-                    rows.append((node, s.view(np.int64)))
-            yield pd.DataFrame(rows, columns=SETS.names)
+            at = _bits(batch["doc_id"].fillna(0).to_numpy("int64"))
+            wanted = batch[(flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+            found = [shingle_set(word_hashes(text), k) for text in wanted["text"]]
+            yield pd.DataFrame([(*digest(s), s.view(np.int64)) for s in found], columns=SETS.names)
 
     return run
 
 
+def _flagged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        at = _bits(batch["rep"].fillna(0).to_numpy("int64"))
+        yield pd.DataFrame({"at": at >> 6, "bits": np.int64(1) << (at & 63)})
+
+
+def bitmap_of(wanted: DataFrame) -> np.ndarray:
+    """2 ** BITMAP_BITS bits, 2 MB, with those of the documents in ``wanted`` set."""
+    rows = wanted.select("rep").mapInPandas(_flagged, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    words = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    for batch in rows.toPandas().itertuples(index=False):
+        words[batch.at] = batch.bits
+    return words.view(np.uint8)
+
+
 def shared_enough(shared: str, percent: int) -> str:
     """SQL: may sets of sizes na, nb with so many shared prefix shingles reach the similarity?
 
@@ -143,48 +166,65 @@ def shared_enough(shared: str, percent: int) -> str:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the similarity, compared shingle by shingle."""
+    """The pairs (a, b) of nodes whose sets reach the similarity, compared shingle by shingle.
+
+    Prefixes are compared first; whole sets are read only for the pairs that remain.
+    """
+    side = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
+    other = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
+    met = pairs.join(side, "a").join(other, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("pa", "pb")).alias("shared"))
+    pairs = stored(met.where(shared_enough("shared", percent)).select("a", "b", "na", "nb"), "pairs")
     used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = stored(classes.join(used, "node").select("node", "c1", "c2", F.col("rep").alias("__rep")), "pair-nodes")
-    texts = docs.join(wanted, docs.doc_id.eqNullSafe(wanted["__rep"])).select("node", "text", "c1", "c2")
-    sets = stored(texts.mapInPandas(_sets(k), SETS).dropDuplicates(["node"]), "pair-sets")
+    wanted = stored(classes.join(used, "node").select("node", "c1", "c2", "rep"), "pair-nodes")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted))
+    found = docs.mapInPandas(_sets(k, bitmap), SETS).join(wanted, ["c1", "c2"]).select("node", "shingles")
+    sets = stored(found.dropDuplicates(["node"]), "pair-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
     )
-    measured = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    measured = both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("common"))
     return stored(measured.where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b"), "links")
 
 
-def candidates_of_leaders(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each class with one class of the leading group that its group shares most with, and of its own group."""
-    leader = lists.groupBy("token").agg(F.min(F.struct("n", "gid")).alias("lead")).select(
-        "token", F.col("lead.n").alias("nb"), F.col("lead.gid").alias("lead")
-    )
-    met = lists.withColumnRenamed("n", "na").join(leader, "token").where("gid <> lead").groupBy("gid", "lead", "na", "nb").agg(F.count("*").alias("shared"))
-    best = met.where(shared_enough("shared", percent)).groupBy("gid").agg(F.max(F.struct("shared", "lead")).alias("best"))
-    one = members.groupBy("gid").agg(F.min("node").alias("one"))
-    across = best.select("gid", F.col("best.lead").alias("lead")).join(one.withColumnRenamed("gid", "lead"), "lead").join(members, "gid")
-    inside = members.join(one, "gid").where("node <> one")
-    return across.select(F.col("node").alias("a"), F.col("one").alias("b")).union(inside.select("node", "one")).distinct()
-
-
-def candidates_across(lists: DataFrame, members: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes of different components whose groups share enough, or are one group."""
-    placed = members.join(component, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("comp"))
-    placed = stored(placed, "class-components")
+def open_lists(lists: DataFrame, placed: DataFrame) -> DataFrame:
+    """The rows of lists whose members are in more than one component, with the span of components of each group."""
     span = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     tagged = lists.join(span, "gid")
     mixed_tokens = tagged.groupBy("token").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("token")
-    open_lists = stored(tagged.join(mixed_tokens, "token"), "open-lists")
-    a = open_lists.select("token", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("low").alias("la"), F.col("high").alias("ha"))
-    b = open_lists.select("token", F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("low").alias("lb"), F.col("high").alias("hb"))
-    near = f"ga < gb and not (la = ha and lb = hb and la = lb) and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    met = a.join(b, "token").where(near).groupBy("ga", "gb", "na", "nb").agg(F.count("*").alias("shared"))
-    pairs = met.where(shared_enough("shared", percent)).select("ga", "gb")
-    split = span.where("low < high").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
-    left = placed.select(F.col("gid").alias("ga"), F.col("node").alias("a"), F.col("comp").alias("ca"))
-    right = placed.select(F.col("gid").alias("gb"), F.col("node").alias("b"), F.col("comp").alias("cb"))
-    return pairs.union(split).join(left, "ga").join(right, "gb").where("ca <> cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stored(tagged.join(mixed_tokens, "token"), "open-lists")
+
+
+def candidates_of_leaders(lists: DataFrame, placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): each class with one class of the leading group that its group shares most with, if not yet connected."""
+    chance = F.xxhash64("gid", "token", F.lit(turn))
+    leader = lists.groupBy("token").agg(F.min(F.struct(chance.alias("x"), "gid", "n", "low", "high")).alias("l")).select(
+        "token", F.col("l.n").alias("nb"), F.col("l.gid").alias("lead"), F.col("l.low").alias("ll"), F.col("l.high").alias("lh")
+    )
+    apart = "gid <> lead and not (low = high and ll = lh and low = ll)"
+    met = lists.withColumnRenamed("n", "na").join(leader, "token").where(apart).groupBy("gid", "lead", "na", "nb").agg(F.count("*").alias("shared"))
+    best = met.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").groupBy("gid").agg(F.max(F.struct("shared", "lead")).alias("best"))
+    one = placed.groupBy(F.col("gid").alias("lead")).agg(F.min("node").alias("one"))
+    across = best.select("gid", F.col("best.lead").alias("lead")).join(one, "lead").join(placed.select("gid", "node"), "gid")
+    return across.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
+
+
+def candidates_across(lists: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes of different components whose groups share a prefix shingle, or are one group."""
+    fields = ("gid", "n", "low", "high")
+    a = lists.where("leading").select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
+    b = lists.select("token", *[F.col(c).alias(f"{c}_b") for c in fields])
+    near = (
+        f"(n_a, gid_a) < (n_b, gid_b) and 100 * n_a >= {percent} * n_b "
+        "and not (low_a = high_a and low_b = high_b and low_a = low_b)"
+    )
+    pairs = a.join(b, "token").where(near).select("gid_a", "gid_b").distinct()
+    span = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    split = span.where("low < high").select(F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b"))
+    left = placed.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("comp").alias("ca"))
+    right = placed.select(F.col("gid").alias("gid_b"), F.col("node").alias("b"), F.col("comp").alias("cb"))
+    return pairs.union(split).join(left, "gid_a").join(right, "gid_b").where("ca <> cb").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
 
 
 def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,13 +250,27 @@ def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
     members = classes.select("gid", "node")
     later = members.join(members.groupBy("gid").agg(F.min("node").alias("one")), "gid").where("node <> one").select("node")
-    groups = classes.join(later, "node", "left_anti").select("gid", "n", F.explode("prefix").alias("token"))
+    leading = f"pos <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
+    groups = classes.join(later, "node", "left_anti").select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
+    groups = groups.select("gid", "n", "token", F.expr(leading).alias("leading"))
     common = stored(groups.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token"), "shared-tokens")
     lists = stored(groups.join(common, "token"), "prefix-lists")
 
-    links = verified(stored(candidates_of_leaders(lists, members, percent), "pairs"), classes, docs, k, percent)
-    across = candidates_across(lists, members, components(links), percent)
-    links = links.union(verified(stored(across, "pairs"), classes, docs, k, percent))
+    first = members.join(members.groupBy("gid").agg(F.min("node").alias("one")), "gid").where("node <> one")
+    pairs = first.select(F.col("one").alias("a"), F.col("node").alias("b"))
+    placed = members.withColumn("comp", F.col("node"))
+    links, opened = None, lists
+    for turn in range(ROUNDS):
+        opened = open_lists(opened.select("token", "gid", "n", "leading"), placed)
+        found = verified(pairs.union(candidates_of_leaders(opened, placed, turn, percent)).distinct(), classes, docs, k, percent)
+        links = found if links is None else links.union(found)
+        component = stored(components(links), "components")
+        placed = stored(members.join(component, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("comp")), "placed")
+        pairs = pairs.limit(0)
+        if found.isEmpty():
+            break
+    opened = open_lists(opened.select("token", "gid", "n", "leading"), placed)
+    links = links.union(verified(candidates_across(opened, placed, percent), classes, docs, k, percent))
     component = stored(components(links), "components")
 
     named = classes.select("c1", "c2", "node", "rep").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))

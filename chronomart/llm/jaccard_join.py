@@ -6,8 +6,8 @@ share prefix shingles are compared by size and by the number of shared prefix
 shingles; the groups that remain are expanded and their members verified.
 
 Nothing pairs all documents of a list. In rounds, each member is verified against
-one randomly chosen leader of a list, the one that it shares most with, and links
-merge components. Then only members that are still in different components are paired:
+one leader of a list, the one that it shares most with, and links merge components. A
+list is led by the set with fewest rare shingles, the least edited of near copies. Then only members that are still in different components are paired:
 the shorter prefix that suffices for the smaller set against the full prefix of the
 larger one. A pair inside one component would not change the result, so no link
 between components is lost. Rounds save work only; they stop when they find nothing.
@@ -32,7 +32,7 @@ SKETCH_BITS = 20
 SEGMENT = 1 << 14
 #: Bits of the map that tells apart documents to be verified; beyond that many more are read than needed.
 BITMAP_BITS = 24
-ROUNDS = 6
+ROUNDS = 3
 
 MARKS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("c1", T.LongType()),
@@ -197,7 +197,8 @@ def open_lists(lists: DataFrame, placed: DataFrame) -> DataFrame:
 def candidates_of_leaders(lists: DataFrame, placed: DataFrame, turn: int, percent: int) -> DataFrame:
     """(a, b): each class with one class of the leading group that its group shares most with, if not yet connected."""
     chance = F.xxhash64("gid", "token", F.lit(turn))
-    leader = lists.groupBy("token").agg(F.min(F.struct(chance.alias("x"), "gid", "n", "low", "high")).alias("l")).select(
+    first = (F.col("pos") if turn % 2 == 0 else F.lit(0)).alias("first")
+    leader = lists.groupBy("token").agg(F.min(F.struct(first, chance.alias("x"), "gid", "n", "low", "high")).alias("l")).select(
         "token", F.col("l.n").alias("nb"), F.col("l.gid").alias("lead"), F.col("l.low").alias("ll"), F.col("l.high").alias("lh")
     )
     apart = "gid <> lead and not (low = high and ll = lh and low = ll)"
@@ -211,11 +212,14 @@ def candidates_of_leaders(lists: DataFrame, placed: DataFrame, turn: int, percen
 def candidates_across(lists: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     """(a, b): classes of different components whose groups share a prefix shingle, or are one group."""
     fields = ("gid", "n", "low", "high")
-    a = lists.where("leading").select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
+    fields = (*fields, "pos")
+    leading = f"pos <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
+    a = lists.where(leading).select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
     b = lists.select("token", *[F.col(c).alias(f"{c}_b") for c in fields])
     near = (
         f"(n_a, gid_a) < (n_b, gid_b) and 100 * n_a >= {percent} * n_b "
-        "and not (low_a = high_a and low_b = high_b and low_a = low_b)"
+        "and not (low_a = high_a and low_b = high_b and low_a = low_b) "
+        f"and {100 + percent} * (least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b)) >= {percent} * (n_a + n_b)"
     )
     pairs = a.join(b, "token").where(near).select("gid_a", "gid_b").distinct()
     span = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -250,9 +254,7 @@ def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
     members = classes.select("gid", "node")
     later = members.join(members.groupBy("gid").agg(F.min("node").alias("one")), "gid").where("node <> one").select("node")
-    leading = f"pos <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
     groups = classes.join(later, "node", "left_anti").select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    groups = groups.select("gid", "n", "token", F.expr(leading).alias("leading"))
     common = stored(groups.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token"), "shared-tokens")
     lists = stored(groups.join(common, "token"), "prefix-lists")
 
@@ -261,15 +263,16 @@ def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "
     placed = members.withColumn("comp", F.col("node"))
     links, opened = None, lists
     for turn in range(ROUNDS):
-        opened = open_lists(opened.select("token", "gid", "n", "leading"), placed)
-        found = verified(pairs.union(candidates_of_leaders(opened, placed, turn, percent)).distinct(), classes, docs, k, percent)
+        opened = open_lists(opened.select("token", "gid", "n", "pos"), placed)
+        pairs = stored(pairs.union(candidates_of_leaders(opened, placed, turn, percent)).distinct(), "leader-pairs")
+        found = verified(pairs, classes, docs, k, percent)
         links = found if links is None else links.union(found)
         component = stored(components(links), "components")
         placed = stored(members.join(component, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("comp")), "placed")
-        pairs = pairs.limit(0)
-        if found.isEmpty():
+        if 20 * found.count() < pairs.count():
             break
-    opened = open_lists(opened.select("token", "gid", "n", "leading"), placed)
+        pairs = pairs.limit(0)
+    opened = open_lists(opened.select("token", "gid", "n", "pos"), placed)
     links = links.union(verified(candidates_across(opened, placed, percent), classes, docs, k, percent))
     component = stored(components(links), "components")
 

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import embedding_dedup, exact_dedup, jaccard_join, mixing
+from chronomart.llm import embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing
 from chronomart.llm.common import table
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
 
@@ -37,6 +41,7 @@ FROM n WINDOW g AS (PARTITION BY norm)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_mixing": op6_mixing,

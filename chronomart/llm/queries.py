@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing
+from chronomart.llm import embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing, quality
 from chronomart.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -43,6 +47,7 @@ FROM n WINDOW g AS (PARTITION BY norm)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_mixing": op6_mixing,
     "op9_jaccard_join": op9_jaccard_join,

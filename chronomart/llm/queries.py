@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing, quality
+from chronomart.llm import embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing, quality, url_filter
 from chronomart.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", *[F.col(f"{mixing.ID}.{c}").alias(c) for c in ("size", "source_size", "target", "taken")])
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_url_filter": op5_url_filter,
     "op6_mixing": op6_mixing,
     "op9_jaccard_join": op9_jaccard_join,
 }

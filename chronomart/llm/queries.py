@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing, quality, url_filter
+from chronomart.llm import bpe, embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing, quality, token_files, url_filter
 from chronomart.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", *[F.col(f"{mixing.ID}.{c}").alias(c) for c in ("size", "source_size", "target", "taken")])
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_mixing": op6_mixing,
+    "op7_token_files": op7_token_files,
     "op8_bpe": op8_bpe,
     "op9_jaccard_join": op9_jaccard_join,
 }

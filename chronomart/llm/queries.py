@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, embedding_dedup, exact_dedup, html_extract, jaccard_join, mixing, quality, token_files, url_filter
+from chronomart.llm import bpe, embedding_dedup, exact_dedup, html_extract, jaccard_join, maxent_lm, mixing, quality, token_files, url_filter
 from chronomart.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_bpe": op8_bpe,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_maxent_lm": op10_maxent_lm,
 }
 
 SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL}

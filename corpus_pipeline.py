@@ -6,23 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronomart.llm import exact_dedup, mixing
+from chronomart.llm import bpe, exact_dedup, jaccard_join, mixing, quality
 from chronomart.llm.common import stored, table
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    return quality.keep_good(docs)
+
+
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
     return exact_dedup.keep_distinct(docs)
 
 
+def distinct_shingles(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return jaccard_join.keep_representatives(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix of sources takes them."""
     return mixing.mixture(docs)
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every row of the mix, encoded and decoded."""
+    return bpe.round_trip(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good),
     ("exact_dedup", distinct_texts),
+    ("jaccard_join", distinct_shingles),
     ("mixing", mixed),
+    ("bpe", encoded),
 ]
 
 #: SQL can't express the learned, hashed and sampled stages.
@@ -32,6 +50,11 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every row of the mix, encoded and decoded."""
+    return bpe.round_trip(docs)
+
+
+STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
     return docs

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from chronomart.operators.ordered import HOT_ROWS, Groups, null_safe_on, per_group
 
-# Above this many versions of one key the interval join compares each of the
-# key's facts with too many candidates, and the as-of form is taken instead.
-MANY_VERSIONS = 256
-
 
 def fk_join_keys(df: DataFrame, keys_of: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Null-safe semi or anti join on distinct keys."""
@@ -99,12 +95,6 @@ def asof_join(
     return matched.unionByName(unmatched)
 
 
-def most_versions(dim: DataFrame, dim_key: str) -> int:
-    """Largest number of versions of one key: a map-side combined count, one row back."""
-    counts = dim.filter(F.col(dim_key).isNotNull()).groupBy(dim_key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.max("_n")).first()[0] or 0
-
-
 def point_in_time(
     fact: DataFrame,
     dim: DataFrame,
@@ -114,12 +104,15 @@ def point_in_time(
     attributes: list[str],
     order: list[str],
     method: str = "auto",
-    many_versions: int = MANY_VERSIONS,
+    disjoint: bool = True,
     **limits,
 ) -> DataFrame:
-    """``pit_join`` while every key has few versions, ``asof_join`` beyond."""
+    """``asof_join`` where the caller declares the windows of a key disjoint, as ``scd2`` makes them, else ``pit_join``.
+
+    The choice never depends on the data, so equal inputs give equal rows at any size.
+    """
     if method == "auto":
-        method = "asof" if most_versions(dim, dim_key) > many_versions else "interval"
+        method = "asof" if disjoint else "interval"
     if method == "interval":
         return pit_join(fact, dim, fact_key, fact_ts, dim_key, attributes)
     if method == "asof":

@@ -247,11 +247,12 @@ def not_unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def run_suite(tables: Mapping[str, DataFrame], suites: Suites) -> DataFrame:
-    """One result row per expectation. A table that is empty passes; one that is absent is skipped."""
+    """One result row per expectation. A table that is empty passes; one that a suite or a reference names and that is absent is an error."""
+    named = set(suites) | {r.parent for rules in suites.values() for r in rules if isinstance(r, References)}
+    if absent := sorted(named - set(tables)):
+        raise ValueError(f"the suites name tables that are absent: {', '.join(absent)}")
     results = []
     for name, rules in suites.items():
-        if name not in tables:
-            continue
         df = tables[name]
         by_row = [r for r in rules if isinstance(r, RowExpectation)]
         if by_row:
@@ -259,7 +260,7 @@ def run_suite(tables: Mapping[str, DataFrame], suites: Suites) -> DataFrame:
         for rule in rules:
             if isinstance(rule, Unique):
                 results.append(_result(unique_count(df, rule.column), name, rule.kind, rule.column))
-            elif isinstance(rule, References) and rule.parent in tables:
+            elif isinstance(rule, References):
                 found = fk_violation_count(df, tables[rule.parent], rule.column, rule.parent_column)
                 results.append(_result(found, name, rule.kind, rule.column))
     if not results:

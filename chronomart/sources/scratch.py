@@ -19,9 +19,11 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
         return named
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="chronomart-"))
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="chronomart-")
+    return _LOCAL[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

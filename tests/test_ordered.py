@@ -73,7 +73,17 @@ def test_asof_equals_interval_join(spark, seed):
     assert expected.count() == facts.count()
     assert same(expected, asof_join(*args, ["change_id"], hot_rows=None))
     assert same(expected, asof_join(*args, ["change_id"], **SMALL))
-    assert same(expected, point_in_time(*args, ["change_id"], many_versions=2))
+    assert same(expected, point_in_time(*args, ["change_id"]))
+
+
+@pytest.mark.parametrize("versions", [3, 400])
+def test_overlapping_windows_give_every_match_at_any_size(spark, versions):
+    dim = spark.range(versions).selectExpr(
+        "1L AS k", "timestamp_micros(id) AS valid_from", "CAST(NULL AS TIMESTAMP) AS valid_to", "id AS version_key"
+    )
+    fact = spark.sql("SELECT 7L AS f, 1L AS k, timestamp'2020-01-01' AS at")
+    found = point_in_time(fact, dim, "k", "at", "k", ["version_key"], ["f"], disjoint=False)
+    assert found.count() == versions
 
 
 def test_asof_ends_with_the_window(spark):

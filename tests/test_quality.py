@@ -98,3 +98,11 @@ def test_dimension_checks(spark):
     assert {r["entity_id"] for r in q.valid_windows(dim, "id", "e").collect()} == {2}
     found = {(r["entity_id"], r["finding"]) for r in q.no_overlap(dim, "id", "e").collect()}
     assert found == {(1, "overlap"), (2, "gap"), (3, "overlap")}
+
+
+def test_absent_table_or_parent_is_an_error(spark):
+    df = spark.sql("SELECT 1 AS id")
+    with pytest.raises(ValueError, match="absent: typo"):
+        q.run_suite({"t": df}, {"t": [q.NotNull("id")], "typo": [q.NotNull("id")]})
+    with pytest.raises(ValueError, match="absent: parent"):
+        q.run_suite({"t": df}, {"t": [q.References("id", "parent", "id")]})

@@ -14,7 +14,8 @@ def snapshot_diff(
     """The change log that row triggers would have written between two snapshots.
 
     Inserts carry the after image, deletes the before image, updates both;
-    unchanged rows emit nothing. Images are JSON text; parse with ``from_json``.
+    unchanged rows emit nothing. Images are JSON text; ``from_change_table`` reads them.
+    ``change_id`` is null: a key changes once in a difference, so no order is lost.
     """
     columns = old.columns
     before = old.select(F.struct(*columns).alias("_old"), *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)])
@@ -38,6 +39,7 @@ def snapshot_diff(
             F.to_json("_old").alias("before_state"),
             F.to_json("_new").alias("after_state"),
             stamp.alias("captured_at"),
+            F.lit(None).cast("bigint").alias("change_id"),
             *[F.coalesce(f"_n{i}", f"_o{i}").alias(k) for i, k in enumerate(keys)],
         )
     )

@@ -139,8 +139,8 @@ def sample_events(df: DataFrame, order: tuple[str, ...] = ("change_id",)) -> Dat
     return df.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
 
 
-def with_capture_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_date", capture_date(F.col("captured_at")))
+def with_capture_date(df: DataFrame, unreadable: Column | None = None) -> DataFrame:
+    return df.withColumn("event_date", capture_date(F.col("captured_at"), unreadable))
 
 
 def validation_view(log: DataFrame, table: str, columns: list[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronomart.functions.payload import normalize_op
+
 
 def latest_state(df: DataFrame, keys: list[str], order: list[str], ascending: bool = False) -> DataFrame:
     """The newest row per key (the oldest with ``ascending``).
@@ -22,5 +24,5 @@ def deletes_kept(df: DataFrame, deletes: str) -> DataFrame:
     if deletes == "keep":
         return df
     if deletes == "drop":
-        return df.filter(F.coalesce(F.col("operation") != "delete", F.lit(True)))
+        return df.filter(F.coalesce(normalize_op(F.col("operation")) != "delete", F.lit(True)))
     raise ValueError(f"deletes must be keep or drop, not {deletes!r}")

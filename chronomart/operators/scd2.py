@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronomart.functions.payload import surrogate_key
+from chronomart.functions.payload import normalize_op, surrogate_key
 from chronomart.operators.ordered import HOT_ROWS, Groups, null_safe_on, per_group
 
 
@@ -54,7 +54,7 @@ def _input(events: DataFrame, spec: Scd2) -> DataFrame:
     wanted = list(dict.fromkeys([*spec.keys, *spec.carried, *spec.tracked, *spec.order]))
     if spec.deletes == "keep":
         return events.select(*wanted)
-    deleted = F.coalesce(F.col(spec.operation) == "delete", F.lit(False))
+    deleted = F.coalesce(normalize_op(F.col(spec.operation)) == "delete", F.lit(False))
     if spec.deletes == "drop":
         return events.filter(~deleted).select(*wanted)
     if spec.deletes == "close":

@@ -54,22 +54,22 @@ def extend(schema: T.StructType, **columns: T.DataType) -> T.StructType:
     return T.StructType(schema.fields + struct(**columns).fields)
 
 
-_INT, _TEXT, _TIME = T.IntegerType(), T.StringType(), T.TimestampType()
+_ID, _INT, _TEXT, _TIME = T.LongType(), T.IntegerType(), T.StringType(), T.TimestampType()
 
 SOURCE_TABLES = {
     "customers": struct(
-        customer_id=_INT, name=_TEXT, email=_TEXT, address=_TEXT, created_at=_TIME, updated_at=_TIME
+        customer_id=_ID, name=_TEXT, email=_TEXT, address=_TEXT, created_at=_TIME, updated_at=_TIME
     ),
     "products": struct(
-        product_id=_INT, name=_TEXT, category=_TEXT, price=T.DecimalType(10, 2), updated_at=_TIME
+        product_id=_ID, name=_TEXT, category=_TEXT, price=T.DecimalType(10, 2), updated_at=_TIME
     ),
     "orders": struct(
-        order_id=_INT, customer_id=_INT, order_date=_TIME, status=_TEXT, total_amount=T.DecimalType(12, 2)
+        order_id=_ID, customer_id=_ID, order_date=_TIME, status=_TEXT, total_amount=T.DecimalType(12, 2)
     ),
     "order_items": struct(
-        order_item_id=_INT, order_id=_INT, product_id=_INT, quantity=_INT, unit_price=T.DecimalType(10, 2)
+        order_item_id=_ID, order_id=_ID, product_id=_ID, quantity=_INT, unit_price=T.DecimalType(10, 2)
     ),
-    "inventory": struct(product_id=_INT, warehouse_id=_TEXT, stock_level=_INT, updated_at=_TIME),
+    "inventory": struct(product_id=_ID, warehouse_id=_TEXT, stock_level=_INT, updated_at=_TIME),
 }
 
 TABLE_KEYS = {

@@ -188,6 +188,21 @@ def _(spark, sf):
     )
 
 
+@query("incremental_scan_late_ids", "S3", f"""
+WITH {o.CHANGES}
+SELECT "table", operation, CAST(count(*) AS BIGINT) AS events,
+       CAST(CASE WHEN operation <> 'delete' THEN min(change_id) END AS BIGINT) AS first_change
+FROM changes WHERE operation <> 'update' GROUP BY "table", operation""")
+def _(spark, sf):
+    """Updates are processed; the others come later with smaller ids, deletes without any."""
+    log = roles.events_envelope(events(spark, sf)).withColumn("operation", envelope.normalize_op(F.col("operation")))
+    log = log.withColumn("change_id", F.when(F.col("operation") != "delete", F.col("change_id")))
+    marks = changelog.processed_marks(log.filter("operation = 'update'"))
+    return changelog.read_unprocessed(log, marks).groupBy("table", "operation").agg(
+        F.count(F.lit(1)).alias("events"), F.min("change_id").alias("first_change")
+    )
+
+
 @query("change_table_scan", "E1 S3 S4", """
 SELECT event_id AS change_id, user_id, event_type = 'error' AS is_delete FROM events""")
 def _(spark, sf):
@@ -977,9 +992,11 @@ def _(spark, sf):
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a stream of its file."""
-    schema = events(spark, sf).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events table, a file or a folder of part files, as a stream."""
+    reader = spark.readStream.schema(events(spark, sf).schema)
+    if changelog.is_folder(spark, f"{sf}/events.parquet"):
+        return reader.parquet(f"{sf}/events.parquet")
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def _finish(*queries) -> None:
@@ -999,6 +1016,19 @@ def _(spark, sf):
     )
 
 
+@query("bronze_stream_then_batch", "T1 K1 S1", f"""
+WITH {o.CHANGES}
+SELECT "table", operation, CAST(2 * count(*) AS BIGINT) AS events FROM changes GROUP BY ALL""")
+def _(spark, sf):
+    """A stream and a batch write to one bronze folder; both are read back."""
+    path = new_path(spark, "bronze-both")
+    source = roles.events_json(event_stream(spark, sf))
+    _finish(*ingest_stream(source, f"{path}/bronze", f"{path}/checkpoint", f"{path}/quarantine", trigger=ONCE))
+    log = roles.events_envelope(events(spark, sf)).withColumn("operation", envelope.normalize_op(F.col("operation")))
+    changelog.write_bronze(log, f"{path}/bronze")
+    return changelog.read_changes(spark, f"{path}/bronze").groupBy("table", "operation").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query("stream_dedupe", "T2", f"""
 WITH {o.CHANGES}
 SELECT "table", CAST(count(*) AS BIGINT) AS events, CAST(sum(change_id) AS BIGINT) AS id_sum FROM changes GROUP BY "table" """)

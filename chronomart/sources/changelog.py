@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,8 @@ from chronomart.schemas import CORRUPT, ENVELOPE, SOURCE_TABLES, extend
 
 STORED = extend(ENVELOPE, event_date=T.DateType())
 PARTITIONS = ["table", "event_date"]
+#: Batch id of what ``write_bronze`` appends; micro-batches count from 0.
+APPENDED = -1
 
 
 def _folder(spark: SparkSession, path: str):
@@ -25,6 +27,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, where = _folder(spark, path)
+    return files.getFileStatus(where).isDirectory()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Removes one partition folder of a table; nothing happens when there is none."""
     files, where = _folder(spark, path)
@@ -67,10 +74,38 @@ def read_changes(
 
 
 def read_changes_since(log: DataFrame, high_water_mark: int) -> DataFrame:
-    """Events after the mark. Apply ``orderBy("change_id")`` where order matters."""
+    """Events after the mark. Apply ``orderBy("change_id")`` where order matters.
+
+    For logs of one id sequence that arrive in its order. ``read_unprocessed`` does
+    without that: ids may come late, be counted per table, or be absent.
+    """
     return log.filter(F.col("change_id") > F.lit(high_water_mark))
 
 
+def _digest() -> Column:
+    """Digest of the content of an event without an id; null for all others."""
+    images = [F.array_sort(F.map_entries(F.col(c))).alias(c) if c in ("before", "after") else F.col(c) for c in FIELDS]
+    content = F.to_json(F.struct(*images), {"ignoreNullFields": "false"})
+    return F.when(F.col("change_id").isNull(), F.sha2(content, 256))
+
+
+def processed_marks(log: DataFrame) -> DataFrame:
+    """(table, change_id, digest) of events, to be kept by the reader."""
+    return log.select("table", "change_id", _digest().alias("digest"))
+
+
+def read_unprocessed(log: DataFrame, marks: DataFrame) -> DataFrame:
+    """Events of ``log`` that ``marks`` (from ``processed_marks``) doesn't hold, late and small ids included.
+
+    An event is known by table and id, or by its content where it has no id: equal
+    events without an id count as one delivery.
+    """
+    names = ("table", "change_id", "digest")
+    seen = marks.select(*[F.col(c).alias(f"_m_{c}") for c in names])
+    same = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in names]
+    return log.withColumn("digest", _digest()).join(seen, same, "left_anti").select(*log.columns)
+
+
 def high_water_mark(log: DataFrame) -> int:
     """Largest ``change_id`` of a log, 0 when it is empty."""
     return log.agg(F.max("change_id")).first()[0] or 0
@@ -86,21 +121,22 @@ def read_source(
     partitions: int = 64,
     options: dict | None = None,
 ) -> DataFrame:
-    """A source table from Parquet or JDBC. JDBC reads are split on ``key`` over ``bounds``."""
+    """A source table from Parquet or JDBC. JDBC reads are split on ``key`` over ``bounds``, so both are needed."""
     if path is not None:
         reader = spark.read
         if table in SOURCE_TABLES:
             reader = reader.schema(SOURCE_TABLES[table])
         return reader.parquet(path)
+    if key is None or bounds is None:
+        raise ValueError("a JDBC read needs key and bounds, else one task reads the whole table")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**(options or {}))
-    if key is not None and bounds is not None:
-        reader = (
-            reader.option("partitionColumn", key)
-            .option("lowerBound", bounds[0])
-            .option("upperBound", bounds[1])
-            .option("numPartitions", partitions)
-        )
-    return reader.load()
+    return (
+        reader.option("partitionColumn", key)
+        .option("lowerBound", bounds[0])
+        .option("upperBound", bounds[1])
+        .option("numPartitions", partitions)
+        .load()
+    )
 
 
 def read_change_topic(spark: SparkSession, options: dict) -> DataFrame:
@@ -124,7 +160,8 @@ def write_bronze(log: DataFrame, path: str, fmt: str = "parquet") -> None:
     (table, date) into several.
     """
     rows = with_capture_date(log.select(*FIELDS)).hint("rebalance", *[F.col(c) for c in PARTITIONS])
-    rows.write.partitionBy(*PARTITIONS).mode("append").format(fmt).save(path)
+    rows = rows.withColumn("batch_id", F.lit(APPENDED).cast("bigint"))
+    rows.write.partitionBy(*PARTITIONS, "batch_id").mode("append").format(fmt).save(path)
 
 
 def bronze_summary(log: DataFrame) -> DataFrame:

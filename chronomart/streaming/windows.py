@@ -11,15 +11,19 @@ from chronomart.operators.marts import daily_measures
 from chronomart.streaming.ingest import EVERY, write_batch
 
 
-def daily_sales_stream(facts: DataFrame, late: str = "7 days") -> DataFrame:
-    """Facts up to ``late`` behind the newest one update their day. State: one row per open day.
+def daily_sales_stream(facts: DataFrame, late: str | None = None) -> DataFrame:
+    """Every fact updates its day, however late it comes. State: one row per day.
 
+    ``late`` closes days that are further behind the newest fact and so forgets their
+    state; Spark then drops the facts of closed days, so give it only where none come.
     Facts that change later (a new status) need the incremental warehouse instead.
     """
     columns = facts.columns
     day = F.window("_at", "1 day")
     timed = facts.withColumn("_at", F.col("order_date").cast("timestamp_ntz").cast("timestamp"))
-    grouped = timed.withWatermark("_at", late).groupBy(day).agg(*daily_measures())
+    if late is not None:
+        timed = timed.withWatermark("_at", late)
+    grouped = timed.groupBy(day).agg(*daily_measures())
     measures = [c for c in grouped.columns if c != "window" and c not in columns]
     return grouped.select(F.to_date("window.start").alias("sale_date"), *measures)
 

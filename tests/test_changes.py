@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronomart.functions.money import mean_money, percent, round_money
 from chronomart.functions.payload import contains, normalize_op
 from chronomart.functions.times import capture_date, parse_ts
-from chronomart.operators import diff, envelope, staging
+from chronomart.operators import diff, envelope, latest, staging
 from chronomart.schemas import ENVELOPE
 from chronomart.sources import changelog
 from tests import seed as s
@@ -246,3 +246,28 @@ def test_diff_counts_copies(spark):
     b = spark.createDataFrame([(1,), (3,), (None,)], "x int")
     assert tuple(diff.diff_counts(a, b).first()) == (2, 1)
     assert {r["x"]: r["surplus"] for r in diff.diff_runs(a, b).collect()} == {1: 1, 2: 1, 3: -1}
+
+
+def test_unprocessed_events_are_found_by_identity(spark):
+    columns = "change_id long, captured_at string"
+    log = spark.createDataFrame([(9, "a"), (10, "b"), (None, "c"), (4, "d"), (None, "e")], columns).selectExpr(
+        "'t' AS table", "'insert' AS operation", "map('id', '1') AS before", "map('id', '1') AS after", "captured_at", "change_id"
+    )
+    marks = changelog.processed_marks(log.filter("captured_at IN ('a', 'e')"))
+    assert sorted(r["captured_at"] for r in changelog.read_unprocessed(log, marks).collect()) == ["b", "c", "d"]
+
+
+def test_instants_in_the_hour_of_a_clock_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        text = spark.createDataFrame([("2026-11-01T05:30:00Z",), ("2026-11-01T06:30:00Z",), ("2026-11-01T01:30:00-05:00",)], "t string")
+        got = [str(r[0]) for r in text.select(parse_ts(F.col("t")).cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2026-11-01 05:30:00", "2026-11-01 06:30:00", "2026-11-01 06:30:00"]
+
+
+def test_raw_delete_codes_are_deletes(spark):
+    rows = spark.createDataFrame([(1, "d"), (2, "delete"), (3, "u"), (4, None)], "id int, operation string")
+    assert [r["id"] for r in latest.deletes_kept(rows, "drop").orderBy("id").collect()] == [3, 4]

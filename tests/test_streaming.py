@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chronomart.operators import marts, quality
 from chronomart.operators.diff import diff_counts
 from chronomart.plans import retail, roles
+from chronomart.plans.catalog import event_stream
 from chronomart.schemas import ENVELOPE
 from chronomart.sources import changelog
 from chronomart.streaming.ingest import ONCE, append_new, dedupe_stream, gate_batch, ingest_stream
@@ -184,3 +185,42 @@ def test_roles_cover_whole_tables(spark, sf):
     }
     rows = {r["table"]: r["count"] for r in log.groupBy("table").count().collect()}
     assert rows == {k: sum(roles.table(spark, sf, t).count() for t in v) for k, v in expected.items()}
+
+
+def test_bronze_holds_stream_and_batch(spark, tmp_path):
+    source, bronze = tmp_path / "in", str(tmp_path / "bronze")
+    log = s.seed().frame(spark)
+    log.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(str(source))
+    text = spark.readStream.text(str(source))
+    finish(*ingest_stream(text, bronze, str(tmp_path / "ckpt"), str(tmp_path / "bad"), trigger=ONCE))
+    changelog.write_bronze(log.filter("table = 'orders'"), bronze)
+    assert changelog.read_changes(spark, bronze).count() == 510
+
+
+def test_late_facts_update_their_day(spark, tmp_path):
+    fct = retail.build(s.seed().frame(spark))["fct_orders"].drop("customer_key")
+    source = str(tmp_path / "facts")
+    late = fct.filter("order_id % 2 = 1").withColumn("order_date", F.expr("order_date - interval 400 days"))
+    fct.filter("order_id % 2 = 0").coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(fct.schema).parquet(source)
+    for _ in range(2):
+        finish(start_windows(daily_sales_stream(stream), str(tmp_path / "out"), str(tmp_path / "ckpt"), ONCE))
+        late.coalesce(1).write.mode("overwrite").parquet(f"{source}/late")
+        stream = spark.readStream.schema(fct.schema).option("recursiveFileLookup", True).parquet(source)
+    assert same(marts.daily_sales(fct.filter("order_id % 2 = 0").unionByName(late)), read_windows(spark, str(tmp_path / "out")))
+
+
+def test_unreadable_stamp_is_stored_once(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    log = s.seed().frame(spark).filter("change_id <= 2").withColumn("captured_at", F.lit("soon"))
+    for n in range(2):
+        append_new(bronze)(log, n)
+    assert [str(r[0]) for r in changelog.read_changes(spark, bronze).select("event_date").collect()] == ["1970-01-01"] * 2
+
+
+def test_event_stream_reads_a_folder_of_part_files(spark, sf, tmp_path):
+    rows = spark.read.parquet(f"{sf}/events.parquet")
+    rows.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    query = event_stream(spark, str(tmp_path)).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    finish(query.option("checkpointLocation", str(tmp_path / "ckpt")).trigger(**ONCE).start())
+    assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()

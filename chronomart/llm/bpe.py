@@ -18,7 +18,7 @@ import re
 import struct
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -32,10 +32,13 @@ from pyspark.sql import functions as F
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Words compiled into the lexicon, at most: about 2 MB.
 LEXICON = 40_000
-#: Words that a worker remembers.
-REMEMBERED = 400_000
-#: Longer words are merged one by one with a heap.
-LONG = 256
+#: After so many new words a worker forgets those that it has not met since as many before.
+REMEMBERED = 300_000
+#: Words are merged in matrices of these widths and so many cells; longer ones one by one with a heap.
+WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128, 256)
+CELLS = 1 << 20
+#: The rank of a pair without merge.
+NEVER = np.iinfo(np.int32).max
 #: Texts encoded at once.
 STEP = 512
 MAGIC = b"MATL"
@@ -67,16 +70,21 @@ class Vocabulary:
             self.bytes[i] = token.encode() if token in self.special else bytes(symbols[c] for c in token)
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
+        self.decimal = [str(i).encode() for i in range(len(self.bytes))]
         by_bytes = {b: i for i, b in enumerate(self.bytes) if b}
         self.single = np.array([by_bytes[bytes([b])] for b in range(256)], np.int32)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"]]
         self.rank = {(ids[a], ids[b]): (r, ids[a + b]) for r, (a, b) in reversed(list(enumerate(pairs)))}
         keys = np.array([a << 20 | b for a, b in self.rank], np.int64)
         order = np.argsort(keys)
+        found = np.array(list(self.rank.values()), np.int64).reshape(-1, 2)
+        #: Pairs in ascending order with the rank of their merge, and what each rank makes.
         self.keys = np.append(keys[order], np.iinfo(np.int64).max)
-        found = np.array(list(self.rank.values()), np.int64).reshape(-1, 2)[order]
-        self.ranks = np.append(found[:, 0], 1 << 40)
-        self.merged = np.append(found[:, 1], 0).astype(np.int32)
+        self.ranks = np.append(found[order, 0], NEVER).astype(np.int32)
+        self.made = np.zeros(len(pairs) + 1, np.int32)
+        self.made[found[:, 0]] = found[:, 1]
+        symbol = self.single.astype(np.int64)
+        self.of_bytes = self.rank_of(np.repeat(symbol, 256), np.tile(symbol, 256)).reshape(256, 256)
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
 
     def merge_long(self, word: bytes) -> list[int]:
@@ -107,46 +115,80 @@ class Vocabulary:
                 offer(left[i])
         return [i for i in ids if i >= 0]
 
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of the merges of pairs of ids, NEVER where there is none."""
+        pair = left.astype(np.int64) << 20 | right
+        at = np.searchsorted(self.keys, pair)
+        return np.where(self.keys[at] == pair, self.ranks[at], NEVER)
+
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word: in every round each word makes its merge of lowest rank, leftmost first."""
-        out: list[np.ndarray | None] = [None] * len(words)
-        short = [k for k, w in enumerate(words) if 0 < len(w) <= LONG]
-        for k, w in enumerate(words):
-            if not w or len(w) > LONG:
-                out[k] = np.array(self.merge_long(w), np.int32)
-        for at in range(0, len(short), 1 << 16):
-            self._merge_batch(words, short[at : at + (1 << 16)], out)
+        """The ids of each word."""
+        return [np.frombuffer(ids, np.int32) for ids in self.merge_packed(words)]
+
+    def merge_packed(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, four bytes each. Words of like lengths are merged together, in rows of one matrix."""
+        out = [b""] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        low = 0
+        for width in WIDTHS:
+            chosen = np.flatnonzero((sizes > low) & (sizes <= width))
+            step = max(1, CELLS // width)
+            for at in range(0, len(chosen), step):
+                rows = chosen[at : at + step]
+                for k, ids in zip(rows.tolist(), self._merge_rows([words[k] for k in rows.tolist()], sizes[rows], width)):
+                    out[k] = ids
+            low = width
+        for k in np.flatnonzero(sizes > low).tolist():
+            out[k] = np.array(self.merge_long(words[k]), np.int32).tobytes()
         return out
 
-    def _merge_batch(self, words: list[bytes], chosen: list[int], out: list) -> None:
-        live = np.array(chosen)
-        sizes = np.array([len(words[k]) for k in chosen])
-        ids = self.single[np.frombuffer(b"".join(words[k] for k in chosen), np.uint8)]
+    def _merge_rows(self, words: list[bytes], sizes: np.ndarray, width: int) -> list[bytes]:
+        """In every round each row makes its merge of lowest rank, leftmost first.
+
+        A merge leaves its id in its first cell and closes its second; only the two pairs
+        around it get new ranks.
+        """
+        cells = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(-1, width)
+        column = np.arange(width)
+        ids = np.where(column < sizes[:, None], self.single[cells], -1)
+        rank = np.full(cells.shape, NEVER, np.int32)
+        rank[:, :-1] = np.where(column[1:] < sizes[:, None], self.of_bytes[cells[:, :-1], cells[:, 1:]], NEVER)
+        ids, flat = ids.ravel(), rank.ravel()
+        # Columns of the open cells around each; the length of the word after its last.
+        after = np.minimum(column + 1, sizes[:, None]).astype(np.int32).ravel()
+        before = np.tile(column - 1, len(words)).astype(np.int32)
+        live = np.arange(len(words))
         while len(live):
-            start = np.cumsum(sizes) - sizes
-            pair = ids.astype(np.int64) << 20
-            pair[:-1] |= ids[1:]
-            pair[start + sizes - 1] = np.iinfo(np.int64).max - 1
-            at = np.searchsorted(self.keys, pair)
-            rank = np.where(self.keys[at] == pair, self.ranks[at], 1 << 40)
-            low = np.minimum.reduceat(rank, start)
-            done = low == 1 << 40
-            for j in np.flatnonzero(done):
-                out[live[j]] = ids[start[j] : start[j] + sizes[j]].copy()
-            word = np.repeat(np.arange(len(live)), sizes)
-            hit = np.flatnonzero((rank == low[word]) & ~done[word])
-            _, first = np.unique(word[hit], return_index=True)
-            hit = hit[first]
-            ids[hit] = self.merged[at[hit]]
-            stays = ~done[word]
-            stays[hit + 1] = False
-            ids = ids[stays]
-            sizes = sizes - 1
-            live, sizes = live[~done], sizes[~done]
+            at = (rank if len(live) == len(words) else rank[live]).argmin(axis=1)
+            spot = live * width + at
+            lowest = flat[spot]
+            going = lowest < NEVER
+            live, at, spot, lowest = live[going], at[going], spot[going], lowest[going]
+            base, end = live * width, sizes[live]
+            gone = base + after[spot]
+            ids[spot], ids[gone], flat[gone] = self.made[lowest], -1, NEVER
+            follower = after[gone]
+            after[spot] = follower
+            inner = follower < end
+            flat[spot] = NEVER
+            here, there = spot[inner], (base + follower)[inner]
+            before[there] = at[inner]
+            flat[here] = self.rank_of(ids[here], ids[there])
+            lead = before[spot]
+            inner = lead >= 0
+            here, there = (base + lead)[inner], spot[inner]
+            flat[here] = self.rank_of(ids[here], ids[there])
+        open_ = ids >= 0
+        data, ends = ids[open_].astype(np.int32).tobytes(), 4 * np.cumsum(open_.reshape(-1, width).sum(axis=1))
+        return [data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 class Lexicon:
-    """A minimal acyclic transducer read from memory: state -> first arc; arc -> byte, target, words before it."""
+    """A minimal acyclic transducer read from memory.
+
+    An arc is found by its key, state * 256 + byte, in the ascending keys of all arcs;
+    it gives the next state and the number of words that branch off before it.
+    """
 
     def __init__(self, data) -> None:
         magic, states, arcs, words, ids = struct.unpack_from("<4sIIII", data, 0)
@@ -160,22 +202,36 @@ class Lexicon:
             at += found.nbytes
             return found
 
-        self.first, self.target, self.before = take(np.uint32, states + 1), take(np.uint32, arcs), take(np.uint32, arcs)
+        self.arc, self.target, self.before = take(np.uint32, arcs), take(np.uint32, arcs), take(np.uint32, arcs)
         self.start, self.ids = take(np.uint32, words + 1), take(np.int32, ids)
-        self.final, self.label = take(np.uint8, states), take(np.uint8, arcs)
+        self.final = take(np.uint8, states)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The rank of each word among the words of the lexicon, -1 for others. All words take a step together."""
+        found = np.full(len(words), -1, np.int64)
+        sizes = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        live, at = np.arange(len(words)), np.cumsum(sizes) - sizes
+        state, rank, end = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), at + sizes
+        while len(live):
+            done = at == end
+            ended = done & (self.final[state] > 0) if len(self.final) else done & False
+            found[live[ended]] = rank[ended]
+            live, at, end, state, rank = (x[~done] for x in (live, at, end, state, rank))
+            key = state << 8 | data[at]
+            arc = np.searchsorted(self.arc, key)
+            hit = np.flatnonzero(arc < len(self.arc))
+            hit = hit[self.arc[arc[hit]] == key[hit]]
+            arc = arc[hit]
+            live, at, end, state, rank = live[hit], at[hit] + 1, end[hit], self.target[arc].astype(np.int64), rank[hit] + self.before[arc]
+        return found
+
+    def output(self, rank: int) -> np.ndarray:
+        return self.ids[self.start[rank] : self.start[rank + 1]]
 
     def get(self, word: bytes) -> np.ndarray | None:
-        state, rank = 0, 0
-        for byte in word:
-            low, high = int(self.first[state]), int(self.first[state + 1])
-            at = low + int(np.searchsorted(self.label[low:high], byte))
-            if at >= high or self.label[at] != byte:
-                return None
-            rank += int(self.before[at])
-            state = int(self.target[at])
-        if not self.final[state]:
-            return None
-        return self.ids[self.start[rank] : self.start[rank + 1]]
+        rank = int(self.find([word])[0])
+        return None if rank < 0 else self.output(rank)
 
 
 def compiled(words: list[bytes], ids: list[np.ndarray]) -> bytes:
@@ -212,23 +268,22 @@ def compiled(words: list[bytes], ids: list[np.ndarray]) -> bytes:
     below = [0] * total
     for s, (final, arcs) in enumerate(frozen):
         below[s] = int(final) + sum(below[t] for _, t in arcs)
-    first, target, before, label, final_flags = [0], [], [], bytearray(), bytearray()
+    arc, target, before, final_flags = [], [], [], bytearray()
     for s in range(total - 1, -1, -1):
         final, arcs = frozen[s]
         sofar = int(final)
         for byte, t in arcs:
-            label.append(byte)
+            arc.append(place(s) << 8 | byte)
             target.append(place(t))
             before.append(sofar)
             sofar += below[t]
-        first.append(len(target))
         final_flags.append(final)
     outputs = [np.asarray(ids[k], np.int32) for k in order]
     start = np.cumsum([0, *map(len, outputs)]).astype(np.uint32)
     flat = np.concatenate(outputs) if outputs else np.zeros(0, np.int32)
     head = struct.pack("<4sIIII", MAGIC, total, len(target), len(words), len(flat))
-    arrays = (np.array(first, np.uint32), np.array(target, np.uint32), np.array(before, np.uint32), start, flat)
-    return head + b"".join(a.tobytes() for a in arrays) + bytes(final_flags) + bytes(label)
+    arrays = (np.array(arc, np.uint32), np.array(target, np.uint32), np.array(before, np.uint32), start, flat)
+    return head + b"".join(a.tobytes() for a in arrays) + bytes(final_flags)
 
 
 def chunks(text: str) -> list[str]:
@@ -243,28 +298,35 @@ def chunks(text: str) -> list[str]:
     return ([head] if head else []) + [" " + x for x in rest]
 
 
+def pretokens(chunk: str) -> Sequence[str]:
+    """The pre-tokens of a chunk. The commonest shapes, a space and letters with or without a stop, need no pattern."""
+    if chunk[:1] == " ":
+        if chunk[1:].isalpha():
+            return (chunk,)
+        if chunk[-1] in ".," and chunk[1:-1].isalpha():
+            return chunk[:-1], chunk[-1]
+    return _PRETOKENS.findall(chunk)
+
+
 class Codec:
     """Encodes and decodes texts; remembers the words of a worker."""
 
     def __init__(self, path: str, lexicon: Lexicon | None = None) -> None:
         self.vocabulary, self.lexicon = _vocabulary(path), lexicon
+        #: Words met lately, and those met before them.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _learn(self, new: list[str]) -> None:
-        missing, where = [], []
-        for chunk in new:
-            ids = self.lexicon.get(chunk.encode("utf-8", "surrogatepass")) if self.lexicon is not None else None
-            if ids is not None:
-                self.known[chunk] = ids.tobytes()
-            else:
-                found = [chunk] if chunk[:1] == " " and chunk[1:].isalpha() else _PRETOKENS.findall(chunk)
-                pieces = [p.encode("utf-8", "surrogatepass") for p in found]
-                where.append((chunk, len(pieces)))
-                missing += pieces
-        merged, at = self.vocabulary.merge(missing), 0
-        for chunk, n in where:
-            self.known[chunk] = b"".join(m.tobytes() for m in merged[at : at + n])
-            at += n
+    def _learn(self, new: Iterable[str]) -> None:
+        known = self.known
+        compound = [(c, found) for c in new if len(found := pretokens(c)) != 1]
+        pieces = set(new).difference([c for c, _ in compound]).union(*[found for _, found in compound]).difference(known)
+        words = {p.encode("utf-8", "surrogatepass"): p for p in pieces}
+        if self.lexicon is not None:
+            ranks = zip(list(words), self.lexicon.find(list(words)).tolist())
+            known.update((words.pop(w), self.lexicon.output(r).tobytes()) for w, r in ranks if r >= 0)
+        known.update(zip(words.values(), self.vocabulary.merge_packed(list(words))))
+        known.update((c, b"".join([known[p] for p in found])) for c, found in compound)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each whole text. Special tokens in a text are recognised, as the file asks for."""
@@ -277,9 +339,12 @@ class Codec:
             else:
                 split.append([chunks(text)])
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        self._learn(list({c for parts in split for p in parts if isinstance(p, list) for c in p if c not in known}))
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = set().union(*[p for parts in split for p in parts if isinstance(p, list)]).difference(known)
+        again = new.intersection(older)
+        known.update((c, older[c]) for c in again)
+        self._learn(new - again)
         out = []
         for parts in split:
             data = [special[p].to_bytes(4, "little") if isinstance(p, str) else b"".join([known[c] for c in p]) for p in parts]
@@ -344,10 +409,10 @@ def _ids(codec: Codec, texts: list[str]) -> dict[str, list]:
 
 
 def _digests(codec: Codec, texts: list[str]) -> dict[str, list]:
-    ids = codec.encode(texts)
+    ids, decimal = codec.encode(texts), codec.vocabulary.decimal
     return {
         "n_tokens": [len(i) for i in ids],
-        "ids_sha256": [hashlib.sha256(",".join(map(str, i.tolist())).encode()).hexdigest() for i in ids],
+        "ids_sha256": [hashlib.sha256(b",".join([decimal[j] for j in i.tolist()])).hexdigest() for i in ids],
         "decoded_sha256": [hashlib.sha256(codec.decode(i).encode()).hexdigest() for i in ids],
     }
 

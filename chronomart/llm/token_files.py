@@ -17,6 +17,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import normalize
 from zlib import crc32
 
 import numpy as np
@@ -39,8 +40,10 @@ SEGMENT = 1 << 20
 #: Frequencies add up to 2 ** SCALE; states stay in [2 ** 31, 2 ** 63) and move by 32 bits.
 SCALE = 20
 LOW = np.uint64(1 << 31)
-#: Words that a worker remembers.
-REMEMBERED = 400_000
+#: After so many new words a worker forgets those that it has not met since as many before.
+REMEMBERED = 300_000
+#: Words of letters that go to the library as one text.
+JOINED = 512
 
 FILES = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("segment", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -52,11 +55,18 @@ ROWS = T.StructType([
 ])
 
 
+def only_letters(word: str) -> bool:
+    """Whether a word is letters, also once composed and lower-cased as the file asks: some letters become letter and mark."""
+    return word.isalpha() and (word.isascii() or normalize("NFC", word).lower().isalpha())
+
+
 class Words:
-    """Ids of whole texts by the tokenizers library, word by word; new words of a batch go to the library together.
+    """Ids of whole texts by the tokenizers library, each word once; new words of a batch go to the library together.
 
     The file's pre-tokens never hold white space, so words between ASCII white space can
-    be encoded on their own. A text with a special token in it is encoded as a whole.
+    be encoded on their own, and so can a stop after letters. The last id of a pre-token
+    shows as such, so words of letters, one pre-token each, can share a text. A text
+    with a special token in it is encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,22 +76,63 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix or ""
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        #: Words met lately, and those met before them.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters. Where some word is more than one pre-token, its group is encoded word by word."""
+        groups = [words[k : k + JOINED] for k in range(0, len(words), JOINED)]
+        out = []
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(ends) == len(group):
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in zip([0, *ends], ends)]
+            else:
+                out += [i.tobytes() for i in self._ids(group)]
+        return out
+
+    def _learn(self, new: set[bytes]) -> None:
+        known = self.known
+        letters, stopped, others = set(), [], []
+        for data in new:
+            word = data.decode()
+            if only_letters(word):
+                letters.add(word)
+            elif word[-1] in ".," and only_letters(word[:-1]):
+                stopped.append((data, data[:-1], data[-1:]))
+                letters.add(word[:-1])
+            else:
+                others.append(data)
+        others += {stop for _, _, stop in stopped} - set(others)
+        words = list(letters)
+        known.update(zip([w.encode() for w in words], self._letters(words)))
+        known.update(zip(others, [i.tobytes() for i in self._ids([w.decode() for w in others])]))
+        known.update((data, known[word] + known[stop]) for data, word, stop in stopped)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         data = [t.encode("utf-8", "surrogatepass") for t in texts]
         whole = [b"<|" in d and any(s in d for s in self.special) for d in data]
         words = [[] if w else d.split() for d, w in zip(data, whole)]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({w for row in words for w in row if w not in known})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            known[w] = np.array(e.ids, np.uint32).tobytes()
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = set().union(*words).difference(known)
+        again = new.intersection(older)
+        known.update((w, older[w]) for w in again)
+        self._learn(new - again)
         end = np.uint32(END).tobytes()
         out = []
         for text, row, w in zip(texts, words, whole):
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes() if w else b"".join([known[x] for x in row])
+            ids = self._ids([text])[0].tobytes() if w else b"".join([known[x] for x in row])
             out.append(np.frombuffer(ids + end, np.uint32))
         return out
 

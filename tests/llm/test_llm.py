@@ -259,6 +259,26 @@ def test_lexicon_shares_suffixes():
     assert len(lexicon.final) == 9
 
 
+def test_remembered_words_survive_forgetting(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(token_files, "REMEMBERED", 5)
+    library, codec, words_ = Tokenizer.from_file(bpe.TOKENIZER), bpe.Codec(bpe.TOKENIZER), token_files.Words(token_files.TOKENIZER)
+    library.no_truncation()
+    for k in range(30):
+        text = f"The word{k}, the last. w{k - 1} word{k - 2}, Ab{'c' * k}. Zw{'x' * (k % 7)}"
+        assert codec.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert words_.encode([text])[0].tolist() == [*words_.tokenizer.encode(text, add_special_tokens=False).ids, token_files.END]
+
+
+def test_words_equal_the_library():
+    r = np.random.default_rng(4)
+    letters = [*"abAB  \n\t\x0b'sté汉İǅßſﬁक़\u0301\u00a0.,19!THE\x00", "<|endoftext|>", " the.", "e\u0301,", "don't ", " İ ", " K "]
+    texts = ["".join(r.choice(letters, r.integers(0, 50))) for _ in range(3000)] + [t or "" for t in ODD]
+    words_ = token_files.Words(token_files.TOKENIZER)
+    for text, ids in zip(texts, words_.encode(texts)):
+        assert ids.tolist() == [*words_.tokenizer.encode(text, add_special_tokens=False).ids, token_files.END]
+
+
 @pytest.mark.parametrize("n", [1, 31, 33, token_files.BLOCK, token_files.BLOCK + 1])
 def test_rans_round_trip_and_checksum(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.2, n), 49_000).astype(np.uint32)

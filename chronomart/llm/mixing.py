@@ -129,7 +129,7 @@ def mix(
     slim = stored(rows.select(f"{ID}.*"), "mix-sizes")
     plan = stored(targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
     quota = F.round("target").cast("long")
-    plan = plan.withColumn("passes", F.coalesce(F.expr("cast(round(target) as bigint) div source_size"), F.lit(0)).cast("int"))
+    plan = plan.withColumn("passes", F.coalesce(F.expr("cast(round(target) as bigint) div nullif(source_size, 0)"), F.lit(0)).cast("int"))
     plan = plan.withColumn("rest", quota - F.col("passes") * F.col("source_size"))
     plan = plan.withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long"))
     plan = stored(plan.withColumnRenamed("source", "of"), "mix-plan")

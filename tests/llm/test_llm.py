@@ -127,6 +127,17 @@ def test_mixing_reaches_targets(spark, sf):
     assert mixing.mixture(docs).count() == sum(len(r["__mix"].draws) for r in mixing.mix(docs).collect())
 
 
+@pytest.mark.parametrize("texts", [["a b", "c d e f"], []], ids=["some", "none"])
+def test_mixing_of_sources_without_words(spark, texts):
+    blank = [(9, None, "e"), (8, "", "e"), (7, " \n ", "e"), (6, None, None)]
+    docs = spark.createDataFrame([*blank, *((i, t, "s") for i, t in enumerate(texts))], "doc_id long, text string, source string")
+    found = {r.doc_id: r["__mix"] for r in mixing.mix(docs).collect()}
+    assert len(found) == len(blank) + len(texts)
+    assert all((found[i].size, found[i].source_size, found[i].target, found[i].taken) == (0, 0, 0.0, 0) for i in (6, 7, 8, 9))
+    assert sum(m.taken for m in found.values()) == 3 * len(texts)
+    assert mixing.mixture(docs).where("doc_id >= 6").count() == 0 and mixing.mixture(docs).count() >= len(texts)
+
+
 def test_embedding_recall_at_the_threshold_and_odd_vectors(spark):
     r = np.random.default_rng(1)
     a = r.standard_normal((400, 32))

@@ -119,7 +119,7 @@ def mix(
 
     ``__mix`` holds size, source_size, target, taken and draws, an array of (shard, pass,
     words). Every row is drawn at most ``cap`` + 1 times and never above ``cap`` times
-    its size; one document per source may be drawn in part, for exact quotas. Null
+    its size; of one document per source a part may be counted, for exact quotas. Null
     text has size 0 and is never drawn; null is a source of its own. Equal rows are
     drawn one by one. The result depends on ids and ``seed`` alone, so reruns agree. An
     empty table gives an empty result.
@@ -180,14 +180,12 @@ def mix(
 def mixture(docs: DataFrame, seed: int = 7, text_col: str = "text", id_col: str = "doc_id", **parameters) -> DataFrame:
     """The mixed rows with the columns of ``docs``: one row per draw, in shards, each in its own random order.
 
-    A document drawn in part keeps its first words, one space apart. Partitions hold whole shards, so
+    Every row carries its unchanged text: the document that an exact quota would take in
+    part, one per source at most, is taken whole. So a source gets its target and less than
+    one document more, and none with a target is left out. Partitions hold whole shards, so
     written files are the shards in training order.
     """
     taken = mix(docs, seed, text_col=text_col, id_col=id_col, **parameters).select("*", F.explode(f"{ID}.draws").alias("__draw"))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))
-    part = F.array_join(F.slice(words, F.lit(1), F.col("__draw.words").cast("int")), " ")
-    cut = F.when(F.col("__draw.words") < F.col(f"{ID}.size"), part).otherwise(F.col(text_col))
     order = fraction(F.lit(seed), F.col("__draw.shard"), F.col("__draw.pass"), F.col(id_col))
-    dealt = taken.withColumn(text_col, cut).withColumn("__order", order)
-    dealt = dealt.repartitionByRange("__draw.shard").sortWithinPartitions("__draw.shard", "__order")
+    dealt = taken.withColumn("__order", order).repartitionByRange("__draw.shard").sortWithinPartitions("__draw.shard", "__order")
     return dealt.select(*docs.columns)

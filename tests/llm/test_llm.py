@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -127,6 +128,17 @@ def test_mixing_reaches_targets(spark, sf):
     assert mixing.mixture(docs).count() == sum(len(r["__mix"].draws) for r in mixing.mix(docs).collect())
 
 
+def test_mixture_keeps_texts_whole(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.concat(F.lit("  "), "text", F.lit("\n\tend ")).alias("text"), "source", "n_chars")
+    whole = {tuple(r) for r in docs.collect()}
+    rows = [tuple(r) for r in mixing.mixture(docs).collect()]
+    assert set(rows) <= whole
+    targets = {r.source: r["__mix"].target for r in mixing.mix(docs).collect()}
+    for source, target in targets.items():
+        longest = max(len(words(t)) for _, t, s, _ in whole if s == source)
+        assert target - 0.5 <= sum(len(words(t)) for _, t, s, _ in rows if s == source) < target + longest
+
+
 @pytest.mark.parametrize("texts", [["a b", "c d e f"], []], ids=["some", "none"])
 def test_mixing_of_sources_without_words(spark, texts):
     blank = [(9, None, "e"), (8, "", "e"), (7, " \n ", "e"), (6, None, None)]

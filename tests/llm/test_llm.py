@@ -218,6 +218,31 @@ def test_html_blocks_of_broken_pages():
     assert blocks(None) == [] and blocks("") == [] and blocks("<") and blocks("<p" * 2000) is not None
 
 
+@pytest.mark.parametrize("name", ["svg", "math", "object", "select"])
+def test_html_element_without_end_loses_nothing(name):
+    page = f"<article><h1>t</h1><p>a <{name} x='1'></p><p>b<div>c</div></article><footer>d</footer>"
+    assert [b.text for b in blocks(page)] == ["t", "a", "b", "c", "d"]
+    page = f"<article><p>a</p><{name}><p>b</p><p>c</p></article><footer>d</footer>"
+    assert [b.text for b in blocks(page)] == ["a", "b", "c", "d"] and blocks(page)[-1].path == (("footer",),)
+
+
+def test_html_formulas_objects_drawings_and_choices():
+    page = "<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> then <svg><title>icon</title><path d='M0'/></svg>so.</p>"
+    assert [b.text for b in blocks(page)] == ["If x=2 then so."]
+    page = "<object data='a'><object data='b'><p>one</object><p>two</object>three<svg><svg><text>Jan</text></svg><text>Feb</text></svg>"
+    assert [b.text for b in blocks(page)] == ["one", "two", "three Jan Feb"] and blocks(page)[1].path == (("object",), ("p",))
+    page = "<p>Take <select><optgroup><option>x<option>y</select> now</p>"
+    assert [(b.text, b.path[-1][0]) for b in blocks(page)] == [("Take", "p"), ("x", "option"), ("y", "option"), ("now", "p")]
+
+
+def test_html_article_around_embedded_elements():
+    text = "<p>Lorem ipsum dolor sit amet, consetetur sadipscing elitr, sed diam nonumy eirmod tempor.</p>"
+    label = html_extract.Labeller(html_extract.trained())
+    for part in ("<svg>", "<math>", "<object data='x'>", f"<object data='x'>{text}</object>", "<p>if <math><mi>x</mi></math> then so it is.</p>"):
+        page = blocks(f"<body><nav><ul><li><a href='/a'>Home</a></li></ul></nav><article><h1>Title of it</h1>{text}{part}{text * 3}</article><footer>&copy; us</footer>")
+        assert label([page])[0].tolist() == ["article" in [x[0] for x in b.path] for b in page], part
+
+
 def test_quality_against_given_labels(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -20,7 +20,7 @@ HEADLINE = [
     "scd2_events", "scd2_prices", "scd2_incremental", "dim_customers_scd2", "dim_products_scd2", "version_delta",
     "pit_join", "asof_join", "pit_items", "asof_items", "fk_violations", "fct_orders", "daily_sales", "kpis",
     "status_breakdown", "top_days", "conditional_aggregates", "source_suite", "suite_on_tables", "quarantine",
-    "no_overlap", "stream_ingest", "stream_daily", "purchases_by_last_state",
+    "no_overlap", "stream_ingest", "stream_daily", "stream_maintain", "purchases_by_last_state",
 ]
 
 

@@ -1111,7 +1111,7 @@ def _deliveries(spark: SparkSession, sf: str) -> list[str]:
 def _(spark, sf):
     """Two micro-batches with late changes give the mart of the full build."""
     path = new_path(spark, "warehouse")
-    warehouse = IncrementalWarehouse(spark, path, buckets=4)
+    warehouse = IncrementalWarehouse(spark, path)
     for n, source in enumerate(_deliveries(spark, sf)):
         stream = spark.readStream.schema(ENVELOPE).parquet(source)
         apply = lambda log, batch_id, n=n: warehouse.apply(log, 1000 * n + batch_id)

@@ -38,6 +38,33 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none when there is no folder."""
+    files, where = _folder(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all. An existing one is an error."""
+    files, where = _folder(spark, path)
+    part = where.suffix(".part")
+    out = files.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(where) or not files.rename(part, where):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, where = _folder(spark, path)
+    jvm = spark.sparkContext._jvm
+    into = files.open(where)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(into, "UTF-8")
+    finally:
+        into.close()
+
+
 def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A partitioned Parquet table with a declared schema; empty when there is no folder."""
     if not _exists(spark, path):

@@ -95,7 +95,10 @@ def test_daily_window(spark, tmp_path):
     assert same(marts.daily_sales(fct), read_windows(spark, str(tmp_path / "out")))
 
 
-NAMES = ["dim_customers_scd2", "dim_products_scd2", "fct_orders", "agg_daily_sales", "stg_orders", "stg_order_items", "stg_inventory"]
+NAMES = [
+    "dim_customers_scd2", "dim_products_scd2", "fct_orders", "fct_order_items", "agg_daily_sales",
+    "stg_customers", "stg_products", "stg_orders", "stg_order_items", "stg_inventory",
+]
 
 
 def busy_log(spark, seed):
@@ -123,7 +126,7 @@ def busy_log(spark, seed):
 
 def test_incremental_warehouse_equals_full_build(spark, tmp_path):
     log = busy_log(spark, 1)
-    warehouse = IncrementalWarehouse(spark, str(tmp_path), buckets=3)
+    warehouse = IncrementalWarehouse(spark, str(tmp_path), file_rows=50)
     cuts = [0, 400, 10_000]
     for n, (low, high) in enumerate(zip(cuts, cuts[1:])):
         warehouse.apply(log.filter(f"change_id > {low} AND change_id <= {high}"), n)
@@ -142,10 +145,10 @@ def test_batch_that_fails_half_way_is_repeated(spark, tmp_path):
     class Dying(IncrementalWarehouse):
         before = None
 
-        def _replace(self, df, name, column, touched):
-            if name == self.before:
-                raise RuntimeError(name)
-            super()._replace(df, name, column, touched)
+        def _write(self, state, table, rows, gone=None):
+            if table == self.before:
+                raise RuntimeError(table)
+            super()._write(state, table, rows, gone)
 
     log = s.seed()
     size = len(log.rows)
@@ -153,16 +156,19 @@ def test_batch_that_fails_half_way_is_repeated(spark, tmp_path):
     log.add("orders", "update", None, s.order(7, 50, "2026-12-24T00:00:00+00:00", "pending", 10), late)
     log.add("order_items", "update", None, s.item(21, 60, 4, 3), late)
     log = log.frame(spark)
-    warehouse = Dying(spark, str(tmp_path), buckets=2)
+    warehouse = Dying(spark, str(tmp_path))
     warehouse.apply(log.filter(f"change_id <= {size}"), 0)
     batch = log.filter(f"change_id > {size}")
-    for warehouse.before in ("fct_orders", "agg_daily_sales"):
+    for warehouse.before in ("fct_orders", "sales_parts"):
         with pytest.raises(RuntimeError, match=warehouse.before):
             warehouse.apply(batch, 1)
     warehouse.before = None
     warehouse.apply(batch, 1)
+    committed = warehouse.store.current()
+    warehouse.apply(batch, 1)
+    assert warehouse.store.current() == committed
     full, got = retail.build(log), warehouse.tables()
-    for name in ("fct_orders", "agg_daily_sales", "stg_order_items"):
+    for name in ("fct_orders", "fct_order_items", "agg_daily_sales", "stg_order_items"):
         assert same(full[name], got[name]), name
 
 
@@ -170,7 +176,7 @@ def test_maintain_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     log = s.seed().frame(spark)
     log.coalesce(1).write.parquet(source)
-    warehouse = IncrementalWarehouse(spark, str(tmp_path / "wh"), buckets=2)
+    warehouse = IncrementalWarehouse(spark, str(tmp_path / "wh"))
     stream = spark.readStream.schema(ENVELOPE).parquet(source)
     finish(maintain_stream(stream, warehouse.apply, str(tmp_path / "ckpt"), ONCE))
     rows = [(str(r[0]), *r[1:]) for r in warehouse.tables()["agg_daily_sales"].collect()]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.operators.ordered import HOT_ROWS, Groups, null_safe_on, per_group
+from chronomart.sources.scratch import cut_lineage
 
 
 def fk_join_keys(df: DataFrame, keys_of: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -95,6 +96,101 @@ def asof_join(
     return matched.unionByName(unmatched)
 
 
+#: Cells of one level that make a cell of the next.
+FAN = 4
+
+
+def _cells(first: Column, last: Column, height: Column) -> Column:
+    """The largest aligned blocks of 1, 4, 16, ... places that together are ``first`` to ``last``, each place in one.
+
+    A level's blocks inside the range lie from ``low`` to ``high``; those under a block of
+    the next level that is inside as well are left to it.
+    """
+
+    def places(a: Column, b: Column) -> Column:
+        return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+
+    def level(n: Column) -> Column:
+        def inside(at: Column) -> tuple[Column, Column]:
+            size = F.pow(F.lit(float(FAN)), at).cast("bigint")
+            return F.call_function("div", first + size - 1, size), F.call_function("div", last + 1, size) - 1
+
+        (low, high), (up_low, up_high) = inside(n), inside(n + 1)
+        above = (up_low <= up_high) & (n < height)
+        left = places(low, F.when(above, up_low * FAN - 1).otherwise(high))
+        right = F.when(above, places((up_high + 1) * FAN, high)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(F.concat(left, right), lambda c: F.struct(n.alias("_level"), c.alias("_cell")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), height), level))
+
+
+def overlap_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    fact_ts: str,
+    dim_key: str,
+    attributes: list[str],
+    order: list[str],
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    hot_rows: int | None = HOT_ROWS,
+    **limits,
+) -> DataFrame:
+    """Same answer as ``pit_join`` for windows that overlap, at the cost of the matches and not of facts x windows.
+
+    The ends of a key's windows cut time into places, numbered in order. A fact looks its
+    place up as of its time; a window is a range of places, split into few aligned
+    blocks. Fact and window meet in an equi join on the one block of the window that
+    holds the fact's place, so the join makes no row that is not a match. A fact is sent
+    once per block size that its key's windows use, at most the logarithm of their
+    number. Whether a fact has no match at all is known from its place: how many windows
+    are open there. Hot keys spread over their blocks. ``order`` is a unique column
+    list of the facts.
+    """
+    start, end = F.col("_from"), F.col("_to")
+    windows = dim.select(
+        F.col(dim_key).alias("_k"), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
+        *[F.col(a).alias(f"_a_{a}") for a in attributes],
+    ).filter(F.col("_k").isNotNull() & start.isNotNull() & (end.isNull() | (end > start)))
+    steps = F.array(F.struct(start.alias("_at"), F.lit(1).alias("_step")), F.struct(end.alias("_at"), F.lit(-1).alias("_step")))
+    ends = windows.select("_k", F.inline(steps)).filter(F.col("_at").isNotNull()).groupBy("_k", "_at").agg(F.sum("_step").alias("_step"))
+
+    def work(groups: Groups) -> Groups:
+        return groups.number("_n").running("_step", "_open").with_column("_place", F.col("_n") - 1)
+
+    places = cut_lineage(per_group(ends, ["_k"], ["_at"], work, hot_rows, **limits).select("_k", "_at", "_place", "_open"))
+    # Half the bits of the last place, rounded up: so many levels of blocks hold all places.
+    bits = F.length(F.bin(F.max("_place")))
+    heights = places.groupBy("_k").agg(F.call_function("div", bits + 1, F.lit(2)).cast("int").alias("_height"))
+    first = places.select("_k", F.col("_at").alias("_from"), F.col("_place").alias("_first"))
+    after = places.select("_k", F.col("_at").alias("_to"), F.col("_place").alias("_after"))
+    ranged = windows.join(first, ["_k", "_from"]).join(after, ["_k", "_to"], "left").join(heights, "_k")
+    # An open window ends with the largest block.
+    last = F.coalesce(F.col("_after"), F.pow(F.lit(float(FAN)), F.col("_height")).cast("bigint")) - 1
+    blocks = ranged.select("_k", F.inline(_cells(F.col("_first"), last, F.col("_height"))), *[f"_a_{a}" for a in attributes])
+    blocks = cut_lineage(blocks)
+    levels = blocks.groupBy("_k").agg(F.collect_set("_level").alias("_levels"))
+    looked = places.join(levels, "_k").withColumn("_end", F.lit(None).cast(dict(dim.dtypes)[valid_to]))
+    # Facts travel under names that no caller's column clashes with.
+    named = {c: f"_f{i}" for i, c in enumerate(fact.columns)}
+    facts = fact.select(*[F.col(c).alias(n) for c, n in named.items()])
+    key = named[fact_key]
+    placed = asof_join(
+        facts, looked, key, named[fact_ts], "_k", ["_place", "_open", "_levels"], [named[c] for c in order], "_at", "_end", hot_rows, **limits
+    )
+    hit = F.coalesce(F.col("_open") > 0, F.lit(False))
+    sent = placed.filter(hit).select(*named.values(), "_place", F.explode("_levels").alias("_level"))
+    sent = sent.withColumn("_cell", F.call_function("div", "_place", F.pow(F.lit(float(FAN)), F.col("_level")).cast("bigint")))
+    met = sent.join(blocks.withColumnRenamed("_k", key), [key, "_level", "_cell"])
+    types = {f.name: f.dataType for f in dim.schema}
+    found = [met.select(*named.values(), *[F.col(f"_a_{a}") for a in attributes])]
+    found.append(placed.filter(~hit).select(*named.values(), *[F.lit(None).cast(types[a]).alias(f"_a_{a}") for a in attributes]))
+    return found[0].unionByName(found[1]).select(
+        *[F.col(n).alias(c) for c, n in named.items()], *[F.col(f"_a_{a}").alias(a) for a in attributes]
+    )
+
+
 def point_in_time(
     fact: DataFrame,
     dim: DataFrame,
@@ -107,17 +203,19 @@ def point_in_time(
     disjoint: bool = True,
     **limits,
 ) -> DataFrame:
-    """``asof_join`` where the caller declares the windows of a key disjoint, as ``scd2`` makes them, else ``pit_join``.
+    """``asof_join`` where the caller declares the windows of a key disjoint, as ``scd2`` makes them, else ``overlap_join``.
 
     The choice never depends on the data, so equal inputs give equal rows at any size.
     """
     if method == "auto":
-        method = "asof" if disjoint else "interval"
+        method = "asof" if disjoint else "overlap"
     if method == "interval":
         return pit_join(fact, dim, fact_key, fact_ts, dim_key, attributes)
     if method == "asof":
         return asof_join(fact, dim, fact_key, fact_ts, dim_key, attributes, order, **limits)
-    raise ValueError(f"method must be auto, interval or asof, not {method!r}")
+    if method == "overlap":
+        return overlap_join(fact, dim, fact_key, fact_ts, dim_key, attributes, order, **limits)
+    raise ValueError(f"method must be auto, interval, asof or overlap, not {method!r}")
 
 
 def resolve(fact: DataFrame, dim: DataFrame, key: str, attributes: list[str]) -> DataFrame:

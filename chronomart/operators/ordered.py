@@ -120,9 +120,18 @@ class Groups:
 
     def number(self, name: str) -> Groups:
         """1-based position in the group."""
-        df = self.df.withColumn(name, F.row_number().over(self._within).cast("bigint"))
+        return self._added(F.row_number().over(self._within).cast("bigint"), F.count(F.lit(1)), name)
+
+    def running(self, column: str, name: str) -> Groups:
+        """Sum of ``column`` up to and including the row; the order has to be total."""
+        rows = self._within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return self._added(F.sum(column).over(rows), F.sum(column), name)
+
+    def _added(self, inside: Column, whole: Column, name: str) -> Groups:
+        """What adds up inside a chunk, plus the same of all chunks before."""
+        df = self.df.withColumn(name, inside)
         if self.chunk:
-            edges = self.df.groupBy(*self.keys, self.chunk).agg(F.count(F.lit(1)).alias("_edge"))
+            edges = self.df.groupBy(*self.keys, self.chunk).agg(whole.alias("_edge"))
             before = self._across().rowsBetween(Window.unboundedPreceding, -1)
             edges = edges.withColumn("_carry", F.coalesce(F.sum("_edge").over(before), F.lit(0)))
             df = self._attach(df, edges, "_carry")

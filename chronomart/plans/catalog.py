@@ -575,11 +575,36 @@ LEFT JOIN price_dim d ON l.l_partkey = d.l_partkey AND r.o_orderdate >= d.valid_
   AND (r.o_orderdate < d.valid_to OR d.valid_to IS NULL)"""
 
 
+_OFFERS = """offers AS (SELECT l_partkey, l_shipdate AS valid_from, l_discount AS offer,
+  CASE WHEN l_returnflag <> 'A' THEN l_shipdate + to_days(CAST(l_quantity AS INTEGER) * 4) END AS valid_to FROM lineitem)"""
+
+
+@query("point_in_time_overlap", "J2 J8", f"""WITH {_OFFERS}
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, r.o_orderdate, f.offer, f.valid_to AS ends
+FROM lineitem l JOIN orders r ON l.l_orderkey = r.o_orderkey
+LEFT JOIN offers f ON l.l_partkey = f.l_partkey AND r.o_orderdate >= f.valid_from AND (r.o_orderdate < f.valid_to OR f.valid_to IS NULL)""")
+def _(spark, sf):
+    """All offers of a part that stand at order time; their windows overlap, some never end."""
+    ends = F.col("l_shipdate") + F.make_dt_interval(F.col("l_quantity").cast("int") * 4)
+    offers = lineitem(spark, sf).select(
+        "l_partkey", F.col("l_shipdate").alias("valid_from"), F.col("l_discount").alias("offer"),
+        F.when(F.col("l_returnflag") != "A", ends).alias("valid_to"),
+    ).withColumn("ends", F.col("valid_to"))
+    return joins.point_in_time(
+        _dated_items(spark, sf), offers, "l_partkey", "o_orderdate", "l_partkey", ["offer", "ends"],
+        ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"], disjoint=False,
+    )
+
+
+def _dated_items(spark, sf) -> DataFrame:
+    return lineitem(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").join(
+        orders(spark, sf).select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).drop("o_orderkey")
+
+
 def _pit_items(method: str):
     def run(spark, sf):
-        dated = lineitem(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").join(
-            orders(spark, sf).select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
-        ).drop("o_orderkey")
+        dated = _dated_items(spark, sf)
         dim = price_dim(spark, sf).withColumnRenamed("l_discount", "list_discount")
         return joins.point_in_time(
             dated, dim, "l_partkey", "o_orderdate", "l_partkey", ["price_key", "list_discount"],

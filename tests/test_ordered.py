@@ -1,11 +1,12 @@
 """Hot groups in chunks give what the plain window gives."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from chronomart.operators import quality, scd2
+from chronomart.operators import joins, quality, scd2
 from chronomart.operators.diff import diff_counts
 from chronomart.operators.joins import asof_join, pit_join, point_in_time
 from chronomart.operators.ordered import per_group
@@ -132,3 +133,61 @@ def test_order_of_arrival_does_not_matter(spark):
     rows = log(spark, 10)
     spec = scd2.Scd2(["k"], ["p", "q"], tiebreak=["change_id"])
     assert same(scd2.scd2(rows, spec), scd2.scd2(rows.orderBy(F.rand(1)).repartition(3), spec))
+
+
+def overlapping(spark, seed, keys, facts, windows, span):
+    """Random windows (empty, backward, open, equal, without key or start) and facts on and between their ends."""
+    r = random.Random(seed)
+    when = lambda: None if r.random() < 0.03 else r.randint(0, span)
+    key = lambda: None if r.random() < 0.03 else r.randint(1, keys)
+    dim = [(key(), when(), None if r.random() < 0.1 else r.randint(0, span), n) for n in range(windows)]
+    dim += dim[:5]
+    fact = [(n, key(), when(), "f") for n in range(facts)]
+    ts = "timestamp_seconds({0} * 60)".format
+    dim = spark.createDataFrame(dim, "k long, a long, b long, name long").selectExpr("k", f"{ts('a')} AS valid_from", f"{ts('b')} AS valid_to", "name")
+    fact = spark.createDataFrame(fact, "id long, k long, at long, _place string").selectExpr("id", "k", f"{ts('at')} AS at", "_place")
+    return fact, dim
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1, 40])
+@pytest.mark.parametrize("shape", [(1, 3, 200, 60, 40), (2, 1, 150, 300, 2000), (3, 50, 300, 80, 10), (4, 2, 20, 0, 5), (5, 1, 30, 1, 9)])
+def test_overlapping_windows_give_the_pairs_of_the_interval_join(spark, shape, hot_rows):
+    fact, dim = overlapping(spark, *shape)
+    limits = {} if hot_rows is None else {"chunk_rows": 17}
+    want = joins.pit_join(fact, dim, "k", "at", "k", ["name"])
+    got = joins.overlap_join(fact, dim, "k", "at", "k", ["name"], ["id"], hot_rows=hot_rows, **limits)
+    assert got.columns == want.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_a_hot_key_costs_its_matches(spark):
+    """One key, 10,000 versions and 10,000 facts: the join makes as many rows as there are matches."""
+    dim = spark.range(10_000).selectExpr(
+        "1L AS k", "timestamp_seconds(id * 100) AS valid_from", "timestamp_seconds(id * 100 + 300) AS valid_to", "id AS name"
+    )
+    fact = spark.range(10_000).selectExpr("id", "1L AS k", "timestamp_seconds(id * 100 + 60) AS at")
+    found = joins.overlap_join(fact, dim, "k", "at", "k", ["name"], ["id"])
+    assert found.count() == 3 * 10_000 - 3
+    rows = joined_rows(found)
+    assert rows and max(rows) <= 60_000, rows
+
+
+def joined_rows(df):
+    """Output rows of every join of an executed plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+        metrics = node.metrics()
+        if "Join" in name and metrics.contains("numOutputRows"):
+            out.append(metrics.apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out

@@ -17,7 +17,9 @@ from chronomart.plans import oracle as o
 from chronomart.plans import retail, roles
 from chronomart.schemas import ENVELOPE, ROW_IMAGE
 from chronomart.sources import changelog
+from chronomart.sources.growing import read_growing
 from chronomart.sources.scratch import new_path
+from chronomart.streaming.dedupe import start_deduped
 from chronomart.streaming.ingest import ONCE, append_new, dedupe_stream, gate_batch, ingest_stream
 from chronomart.streaming.maintain import IncrementalWarehouse, maintain_stream
 from chronomart.streaming.windows import daily_sales_stream, read_windows, start_windows
@@ -1041,6 +1043,44 @@ def _(spark, sf):
     )
 
 
+def _grow(lines: DataFrame, folder: str, deliveries: int) -> None:
+    """Stands in for the capture process: each file is written anew with the lines of the first ``deliveries``, so a retry changes nothing."""
+
+    def write(rows) -> None:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        with store.open_output_stream(f"{base}/changes-{TaskContext.get().partitionId()}.jsonl") as out:
+            for row in rows:
+                out.write(row["value"].encode() + b"\n")
+
+    known = lines.filter(F.col("delivery") < deliveries).repartition(4, "key")
+    known.sortWithinPartitions("delivery", "key").foreachPartition(write)
+
+
+@query("growing_files", "S1 S3 T1", f"""
+WITH {o.CHANGES}
+SELECT "table", operation, user_id, event_type, value, ts AS captured_at, change_id FROM changes""")
+def _(spark, sf):
+    """Files that grow twice after they were read; every line arrives once."""
+    path = new_path(spark, "growing")
+    lines = roles.events_envelope(events(spark, sf)).select(
+        F.to_json(F.struct("*")).alias("value"), F.col("change_id").alias("key"), (F.col("change_id") % 3).alias("delivery")
+    )
+    for deliveries in (1, 2, 3):
+        _grow(lines, f"{path}/log", deliveries)
+        source = read_growing(spark, f"{path}/log", pieceBytes=str(1 << 20))
+        _finish(*ingest_stream(source, f"{path}/bronze", f"{path}/checkpoint", f"{path}/quarantine", trigger=ONCE))
+    image = F.col("payload")
+    return envelope.payload(changelog.read_changes(spark, f"{path}/bronze")).select(
+        "table", "operation", field(image, "user_id").cast("bigint").alias("user_id"),
+        field(image, "type").alias("event_type"), to_double(field(image, "value")).alias("value"),
+        parse_ts(F.col("captured_at")).alias("captured_at"), "change_id",
+    )
+
+
 @query("bronze_stream_then_batch", "T1 K1 S1", f"""
 WITH {o.CHANGES}
 SELECT "table", operation, CAST(2 * count(*) AS BIGINT) AS events FROM changes GROUP BY ALL""")
@@ -1070,6 +1110,24 @@ def _(spark, sf):
     )
 
 
+@query("stream_dedupe_late", "T2 T5", f"""
+WITH {o.CHANGES}
+SELECT "table", CAST(count(*) AS BIGINT) AS events, CAST(sum(change_id) AS BIGINT) AS id_sum FROM changes GROUP BY "table" """)
+def _(spark, sf):
+    """Most events first, then all of them again: repetitions and news, nearly all later than the state is kept."""
+    path = new_path(spark, "stream-dedupe-late")
+    log = roles.events_envelope(events(spark, sf))
+    log.filter("change_id % 10 <> 7").write.parquet(f"{path}/in")
+    for delivery in (1, 2):
+        stream = spark.readStream.schema(ENVELOPE).parquet(f"{path}/in")
+        _finish(start_deduped(stream, "1 day", f"{path}/bronze", f"{path}/checkpoint", ONCE))
+        if delivery == 1:
+            log.write.mode("append").parquet(f"{path}/in")
+    return changelog.read_changes(spark, f"{path}/bronze").groupBy("table").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("change_id").alias("id_sum")
+    )
+
+
 @query("stream_append_new", "T2 T5", f"""
 WITH {o.CHANGES}
 SELECT "table", CAST(count(*) AS BIGINT) AS events, CAST(sum(change_id) AS BIGINT) AS id_sum FROM changes GROUP BY "table" """)

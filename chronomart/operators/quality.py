@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronomart.functions.payload import contains
-from chronomart.operators.diff import union_findings
-from chronomart.operators.joins import fk_violation_count, fk_violations
+from chronomart.operators.joins import fk_violations
 from chronomart.operators.ordered import HOT_ROWS, Groups, per_group
 from chronomart.schemas import ORDER_STATUSES
 
@@ -103,6 +104,8 @@ class Unique:
 
 Suites = Mapping[str, Sequence]
 
+RESULT = "suite string, expectation string, column string, evaluated bigint, violations bigint, success boolean"
+
 # What the source tables have to satisfy.
 SOURCE_SUITES: dict[str, list] = {
     "products": [
@@ -199,75 +202,120 @@ def _model_test(column: str, test):
     raise ValueError(f"unknown column test {test!r}")
 
 
-def _result(df: DataFrame, suite: str, kind: str, column: str) -> DataFrame:
-    return df.select(
-        F.lit(suite).alias("suite"),
-        F.lit(kind).alias("expectation"),
-        F.lit(column).alias("column"),
-        F.col("evaluated").cast("bigint").alias("evaluated"),
-        F.col("violations").cast("bigint").alias("violations"),
-        (F.col("violations") == 0).alias("success"),
-    )
+def _key_text(value: Column, kind: T.DataType) -> Column:
+    """Text that is equal exactly where the values are: zero has one sign, bytes are hex."""
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        value = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)
+    return F.hex(value) if isinstance(kind, T.BinaryType) else value.cast("string")
 
 
-def _row_results(df: DataFrame, suite: str, rules: list[RowExpectation]) -> DataFrame:
-    """All row expectations of a table in one aggregate over one scan."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("evaluated"),
-        *[F.count_if(r.broken(df)).alias(f"_v{i}") for i, r in enumerate(rules)],
-    )
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(r.kind).alias("expectation"), F.lit(r.column).alias("column"),
-                F.col(f"_v{i}").alias("violations"),
-            )
-            for i, r in enumerate(rules)
-        ]
+CHILD, PARENT = 0, 1
+_VOTE = "struct<check:int,role:int,key:string>"
+
+
+def _votes(df: DataFrame, votes: list[Column]) -> DataFrame:
+    """One row per vote; a null vote (a rule that the row keeps) is none."""
+    return df.select(F.inline(F.array_compact(F.array(*[v.cast(_VOTE) for v in votes]))))
+
+
+def _vote(check: int, role: int = CHILD, key: Column | None = None) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(role).alias("role"), (F.lit(None) if key is None else key).alias("key"))
+
+
+def run_suite(tables: Mapping[str, DataFrame], suites: Suites) -> DataFrame:
+    """One result row per expectation. A table that is empty passes; one that a suite or a reference names and that is absent is an error.
+
+    Each table is scanned once, whatever it is checked for: a row votes for itself, for
+    the row rules that it breaks, and with its key for every uniqueness and for both sides
+    of every reference. Votes are counted per check and key, combined before the one
+    exchange, then per check.
+    """
+    rules = [(name, rule) for name, own in suites.items() for rule in own]
+    named = set(suites) | {r.parent for _, r in rules if isinstance(r, References)}
+    if absent := sorted(named - set(tables)):
+        raise ValueError(f"the suites name tables that are absent: {', '.join(absent)}")
+    if not rules:
+        raise ValueError("no expectation applies to the given tables")
+    # After the checks, one number per table for its rows.
+    rows_of = {name: len(rules) + n for n, name in enumerate(sorted(named))}
+    votes: dict[str, list[Column]] = {name: [_vote(n)] for name, n in rows_of.items() if name in suites}
+    for n, (name, rule) in enumerate(rules):
+        df = tables[name]
+        if isinstance(rule, RowExpectation):
+            votes[name].append(F.when(rule.broken(df), _vote(n)))
+            continue
+        kind = df.schema[rule.column].dataType
+        votes[name].append(_vote(n, CHILD, _key_text(F.col(rule.column), kind)))
+        if isinstance(rule, References):
+            parent = F.col(rule.parent_column).cast(kind)
+            votes.setdefault(rule.parent, []).append(_vote(n, PARENT, _key_text(parent, kind)))
+    all_votes = reduce(DataFrame.unionAll, [_votes(tables[name], own) for name, own in votes.items()])
+    per_key = all_votes.groupBy("check", "key").agg(F.count_if(F.col("role") == CHILD).alias("n"), F.max("role").alias("role"))
+    per_check = per_key.groupBy("check").agg(
+        F.sum("n").alias("n"),
+        F.count_if(F.col("key").isNotNull() & (F.col("n") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(F.col("role") == CHILD, F.col("n"))), F.lit(0)).alias("orphans"),
+        F.max("role").alias("role"),
     )
-    flat = counts.select("evaluated", F.explode(lines).alias("_r")).select("evaluated", "_r.*")
-    return flat.select(
-        F.lit(suite).alias("suite"), "expectation", "column", "evaluated", "violations",
-        (F.col("violations") == 0).alias("success"),
+    # One row with the counts of all checks: as many as there are expectations.
+    counts = per_check.agg(F.map_from_entries(F.collect_list(F.struct("check", F.struct("n", "repeated", "orphans", "role")))).alias("counts"))
+    return counts.select(F.inline(F.array(*[_line(n, name, rule, rows_of) for n, (name, rule) in enumerate(rules)]))).withColumn(
+        "success", F.col("violations") == 0
     )
 
 
-def unique_count(df: DataFrame, column: str) -> DataFrame:
-    per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = F.col(column).isNotNull() & (F.col("_n") > 1)
-    return per_value.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("evaluated"), F.count_if(repeated).alias("violations")
+def _line(n: int, name: str, rule, rows_of: dict[str, int]) -> Column:
+    def counted(check: int, what: str) -> Column:
+        return F.coalesce(F.try_element_at("counts", F.lit(check))[what], F.lit(0))
+
+    if isinstance(rule, RowExpectation):
+        broken = counted(n, "n")
+    elif isinstance(rule, Unique):
+        broken = counted(n, "repeated")
+    else:
+        # Without any parent there is nothing to compare with.
+        broken = F.when(counted(n, "role") == PARENT, counted(n, "orphans")).otherwise(0)
+    return F.struct(
+        F.lit(name).alias("suite"), F.lit(rule.kind).alias("expectation"), F.lit(rule.column).alias("column"),
+        counted(rows_of[name], "n").cast("bigint").alias("evaluated"), broken.cast("bigint").alias("violations"),
     )
 
 
+class Metrics:
+    """Row expectations of several tables as metrics of a pass over their common log.
+
+    ``watch`` adds the counts to a pass that is made anyway, ``results`` reads them when
+    it has ended: the checks cost no scan of their own. A rule sees its column as
+    text of the event's payload.
+    """
+
+    def __init__(self, suites: Suites) -> None:
+        self.rules = [(name, r) for name, own in suites.items() for r in own if isinstance(r, RowExpectation)]
+        self.tables = sorted({name for name, _ in self.rules})
+        self.seen = Observation()
+
+    def watch(self, log: DataFrame, table: Column, payload: Column) -> DataFrame:
+        columns = sorted({r.column for _, r in self.rules})
+        if clash := set(columns) & set(log.columns):
+            raise ValueError(f"columns of the log stand in for columns of its tables: {', '.join(sorted(clash))}")
+        wide = log.select("*", *[F.try_element_at(payload, F.lit(c)).alias(c) for c in columns])
+        present = payload.isNotNull()
+        counts = [F.count_if((table == t) & present).alias(f"rows_{t}") for t in self.tables]
+        counts += [F.count_if((table == t) & present & r.broken(wide)).alias(f"v{n}") for n, (t, r) in enumerate(self.rules)]
+        return wide.observe(self.seen, *counts).drop(*columns) if counts else log
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        found = self.seen.get
+        lines = [(t, r.kind, r.column, found[f"rows_{t}"], found[f"v{n}"], found[f"v{n}"] == 0) for n, (t, r) in enumerate(self.rules)]
+        return spark.createDataFrame(lines, RESULT)
+
+
 def not_unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their count."""
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("copies"))
     return counted.filter("copies > 1")
 
 
-def run_suite(tables: Mapping[str, DataFrame], suites: Suites) -> DataFrame:
-    """One result row per expectation. A table that is empty passes; one that a suite or a reference names and that is absent is an error."""
-    named = set(suites) | {r.parent for rules in suites.values() for r in rules if isinstance(r, References)}
-    if absent := sorted(named - set(tables)):
-        raise ValueError(f"the suites name tables that are absent: {', '.join(absent)}")
-    results = []
-    for name, rules in suites.items():
-        df = tables[name]
-        by_row = [r for r in rules if isinstance(r, RowExpectation)]
-        if by_row:
-            results.append(_row_results(df, name, by_row))
-        for rule in rules:
-            if isinstance(rule, Unique):
-                results.append(_result(unique_count(df, rule.column), name, rule.kind, rule.column))
-            elif isinstance(rule, References):
-                found = fk_violation_count(df, tables[rule.parent], rule.column, rule.parent_column)
-                results.append(_result(found, name, rule.kind, rule.column))
-    if not results:
-        raise ValueError("no expectation applies to the given tables")
-    return union_findings(*results)
-
-
 class GateClosed(Exception):
     """The data broke an expectation; nothing after the gate ran."""
 

@@ -106,3 +106,35 @@ def test_absent_table_or_parent_is_an_error(spark):
         q.run_suite({"t": df}, {"t": [q.NotNull("id")], "typo": [q.NotNull("id")]})
     with pytest.raises(ValueError, match="absent: parent"):
         q.run_suite({"t": df}, {"t": [q.References("id", "parent", "id")]})
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_one_scan_per_table_for_all_kinds_of_rules(spark, sf):
+    tables = {n: spark.read.parquet(f"{sf}/{n}.parquet") for n in ("orders", "customer", "nation")}
+    suites = {
+        "orders": [q.Unique("o_orderkey"), q.Unique("o_custkey"), q.References("o_custkey", "customer", "c_custkey"), q.Between("o_totalprice", 1000)],
+        "customer": [q.Unique("c_custkey"), q.References("c_nationkey", "nation", "n_nationkey"), q.NotNull("c_name")],
+    }
+    found = q.run_suite(tables, suites)
+    assert scans(found) == 3
+    rows = {(r["suite"], r["expectation"], r["column"]): (r["evaluated"], r["violations"]) for r in found.collect()}
+    n = tables["orders"].count()
+    repeated = tables["orders"].groupBy("o_custkey").count().filter("count > 1").count()
+    assert rows["orders", "unique", "o_custkey"] == (n, repeated) and rows["orders", "unique", "o_orderkey"] == (n, 0)
+    assert rows["orders", "references", "o_custkey"] == (n, 0) and len(rows) == 7
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(10,2)", "date", "binary", "boolean", "int"])
+def test_keys_of_any_kind(spark, kind):
+    values = {
+        "double": ["0.0", "-0.0", "1.5", "NaN", "NaN"], "decimal(10,2)": ["1", "1.00", "2", "3", "4"], "boolean": ["true", "true", "false", None, None],
+        "date": ["2026-01-01", "2026-01-01", "2026-01-02", None, None], "binary": ["a", "a", "b", None, None], "int": ["1", "01", "2", None, None],
+    }[kind]
+    child = spark.createDataFrame([(v,) for v in values], "t string").selectExpr(f"CAST(t AS {kind}) AS k")
+    parent = child.limit(1).selectExpr("k AS id")
+    rows = q.run_suite({"c": child, "p": parent}, {"c": [q.Unique("k"), q.References("k", "p", "id")]}).collect()
+    expected = child.groupBy("k").count().filter("k IS NOT NULL AND count > 1").count()
+    assert [r["violations"] for r in rows] == [expected, q.violations(child, q.References("k", "p", "id"), {"p": parent}).count()]

@@ -42,13 +42,17 @@ def from_change_table(df: DataFrame) -> DataFrame:
     )
 
 
-def from_connector(df: DataFrame, col: str = "value", snapshot_op: str | None = "insert") -> DataFrame:
+def from_connector(
+    df: DataFrame, col: str = "value", snapshot_op: str | None = "insert", keep_malformed: bool = False
+) -> DataFrame:
     """Native connector message to the canonical envelope.
 
     Messages may carry the ``{"schema", "payload"}`` wrapper. Reads of an initial
     snapshot (``op = r``) become ``snapshot_op``; NULL text (a tombstone) is no event.
+    ``keep_malformed`` adds text that is no JSON object as ``_corrupt_record``.
     """
-    message = F.from_json(F.col(col), CONNECTOR)
+    schema = extend(CONNECTOR, **{CORRUPT: T.StringType()}) if keep_malformed else CONNECTOR
+    message = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     df = df.filter(F.col(col).isNotNull()).select(F.explode(F.array(message)).alias("_m"))
     body = {
         name: F.coalesce(F.col(f"_m.{name}"), F.col(f"_m.payload.{name}"))
@@ -65,6 +69,7 @@ def from_connector(df: DataFrame, col: str = "value", snapshot_op: str | None =
         body["after"].alias("after"),
         F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'").alias("captured_at"),
         body["source"]["lsn"].alias("change_id"),
+        *([F.col(f"_m.{CORRUPT}").alias(CORRUPT)] if keep_malformed else []),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,6 +14,7 @@ from chronomart.functions.money import mean_money, percent, round_money, sum_mon
 from chronomart.functions.payload import field, get_or, to_double, to_whole
 from chronomart.functions.times import capture_date, fmt_ts, parse_ts
 from chronomart.operators import diff, envelope, facts, joins, latest, marts, quality, scd2, staging
+from chronomart.operators.errors import error_counts
 from chronomart.plans import oracle as o
 from chronomart.plans import retail, roles
 from chronomart.schemas import ENVELOPE, ROW_IMAGE
@@ -178,6 +180,11 @@ def _(spark, sf):
     return changelog.materialize(model, "orders_by_status", "table", new_path(spark, "model"))
 
 
+@query("source_scan", "S4", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def _(spark, sf):
+    return changelog.read_source(spark, "supplier", path=f"{sf}/supplier.parquet").select("s_suppkey", "s_name", "s_nationkey")
+
+
 @query("incremental_scan", "S3 F16", f"""
 WITH {o.CHANGES}
 SELECT "table", operation, CAST(count(*) AS BIGINT) AS events, CAST(min(change_id) AS BIGINT) AS first_change
@@ -262,16 +269,28 @@ def _(spark, sf):
     )
 
 
-@query("operation_invariants", "E5", f"""
-WITH {o.CHANGES}, kinds AS (
-  SELECT "table", operation, operation = 'update' AS both_expected, event_type FROM changes)
-SELECT "table", operation, CAST(count(*) AS BIGINT) AS events, CAST(0 AS BIGINT) AS insert_with_before,
-       CAST(0 AS BIGINT) AS insert_without_after, CAST(0 AS BIGINT) AS update_without_before,
-       CAST(0 AS BIGINT) AS update_without_after, CAST(0 AS BIGINT) AS delete_with_after,
-       CAST(0 AS BIGINT) AS delete_without_before
-FROM kinds GROUP BY "table", operation""")
-def _(spark, sf):
-    return envelope.check_invariants(roles.events_envelope(events(spark, sf)))
+@query("operation_invariants", "E5", """
+WITH t AS (
+  SELECT CASE WHEN event_type = 'purchase' THEN 'orders' ELSE 'customers' END AS "table",
+         CASE event_id % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS operation,
+         event_id % 5 < 2 AS b, event_id % 7 < 4 AS a FROM events)
+SELECT "table", operation, CAST(count(*) AS BIGINT) AS events,
+       count(*) FILTER (operation = 'insert' AND b) AS insert_with_before, count(*) FILTER (operation = 'insert' AND NOT a) AS insert_without_after,
+       count(*) FILTER (operation = 'update' AND NOT b) AS update_without_before, count(*) FILTER (operation = 'update' AND NOT a) AS update_without_after,
+       count(*) FILTER (operation = 'delete' AND a) AS delete_with_after, count(*) FILTER (operation = 'delete' AND NOT b) AS delete_without_before
+FROM t GROUP BY ALL""")
+def _(spark, sf):
+    """Events whose images are there or not whatever the operation: every rule is broken by some."""
+    image = F.create_map(F.lit("user_id"), F.col("user_id").cast("string"))
+    n = F.col("event_id")
+    none = F.when(n % 2 == 0, F.lit(None).cast(ROW_IMAGE)).otherwise(F.create_map().cast(ROW_IMAGE))
+    log = events(spark, sf).select(
+        F.when(F.col("event_type") == "purchase", "orders").otherwise("customers").alias("table"),
+        F.when(n % 3 == 0, "insert").when(n % 3 == 1, "u").otherwise("delete").alias("operation"),
+        F.when(n % 5 < 2, image).otherwise(none).alias("before"), F.when(n % 7 < 4, image).otherwise(none).alias("after"),
+        F.col("ts").cast("string").alias("captured_at"), n.alias("change_id"),
+    )
+    return envelope.check_invariants(log)
 
 
 @query("operation_invariants_retail", "E5", """
@@ -525,15 +544,14 @@ def _(spark, sf):
 
 
 @query("multi_version", "J5 A8 F12", f"""WITH {o.PRODUCT_DIM}
-SELECT product_key, product_id, name, category, price, is_current, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from,
-       coalesce(strftime(valid_to, '%Y-%m-%d %H:%M:%S'), 'Active (NULL)') AS valid_to
-FROM dim_products WHERE product_id IN (SELECT product_id FROM dim_products GROUP BY product_id HAVING count(*) > 1)""")
+SELECT product_id, category, price, strftime(valid_from, '%d.%m.%Y') AS since, ifnull(strftime(valid_to, '%d.%m.%Y'), 'now') AS until
+FROM (SELECT *, count(*) OVER (PARTITION BY product_id) AS versions FROM dim_products) WHERE versions > 1""")
 def _(spark, sf):
     rows = scd2.multi_version(product_dim(spark, sf), ["product_id"])
+    day = "dd.MM.yyyy"
     return rows.select(
-        "product_key", "product_id", "name", "category", "price", "is_current",
-        fmt_ts(F.col("valid_from")).alias("valid_from"),
-        F.coalesce(fmt_ts(F.col("valid_to")), F.lit("Active (NULL)")).alias("valid_to"),
+        "product_id", "category", "price", fmt_ts(F.col("valid_from"), day).alias("since"),
+        F.coalesce(fmt_ts(F.col("valid_to"), day), F.lit("now")).alias("until"),
     )
 
 
@@ -930,6 +948,73 @@ def _(spark, sf):
     )
 
 
+@query("quality_gate", "Q12", """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS bad FROM orders)
+SELECT 'open' AS run, TRUE AS passed, '' AS told FROM n
+UNION ALL SELECT 'closed', bad = 0, CASE WHEN bad = 0 THEN '' ELSE 'orders.o_orderstatus in_set: ' || bad || ' of ' || n END FROM n""")
+def _(spark, sf):
+    """A gate that opens and one that does not."""
+    lines = []
+    for run, states in (("open", ("F", "O", "P")), ("closed", ("F", "O"))):
+        suites = {"orders": [quality.NotNull("o_orderkey"), quality.InSet("o_orderstatus", states), quality.Unique("o_orderkey")]}
+        try:
+            quality.gate(quality.run_suite({"orders": orders(spark, sf)}, suites))
+            lines.append((run, True, ""))
+        except quality.GateClosed as told:
+            lines.append((run, False, str(told)))
+    return spark.createDataFrame(lines, "run string, passed boolean, told string")
+
+
+# Suites as files declare them.
+_DECLARED = """{"expectations": [
+  {"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"table": "orders", "column": "o_custkey"}},
+  {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"table": "customer", "column": "c_acctbal", "min_value": 0, "max_value": 5000}},
+  {"expectation_type": "expect_column_values_to_match_regex", "kwargs": {"table": "customer", "column": "c_name", "regex": "7$"}}]}"""
+_DECLARED_MODELS = """{"models": [{"name": "orders", "columns": [
+  {"name": "o_orderkey", "tests": ["unique", "not_null"]}, {"name": "o_comment"},
+  {"name": "o_orderstatus", "tests": [{"accepted_values": {"values": ["F", "O"]}}]}]}]}"""
+
+
+@query("declared_suites", "Q14 Q11", """
+WITH r AS (
+  SELECT 'orders' AS suite, 'unique' AS expectation, 'o_custkey' AS "column", count(*) AS evaluated,
+         (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)) AS violations FROM orders
+  UNION ALL SELECT 'customer', 'between', 'c_acctbal', count(*), count(*) FILTER (c_acctbal NOT BETWEEN 0 AND 5000) FROM customer
+  UNION ALL SELECT 'customer', 'matches', 'c_name', count(*), count(*) FILTER (c_name NOT LIKE '%7') FROM customer
+  UNION ALL SELECT 'orders', 'unique', 'o_orderkey', count(*), count(*) - count(DISTINCT o_orderkey) FROM orders
+  UNION ALL SELECT 'orders', 'not_null', 'o_orderkey', count(*), count(*) - count(o_orderkey) FROM orders
+  UNION ALL SELECT 'orders', 'in_set', 'o_orderstatus', count(*), count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) FROM orders)
+SELECT suite, expectation, "column", CAST(evaluated AS BIGINT) AS evaluated, CAST(violations AS BIGINT) AS violations,
+       violations = 0 AS success FROM r""")
+def _(spark, sf):
+    suites = quality.merge_suites(quality.load_suite(_DECLARED), quality.load_model_tests(json.loads(_DECLARED_MODELS)))
+    return quality.run_suite({"orders": orders(spark, sf), "customer": customer(spark, sf)}, suites)
+
+
+@query("load_quarantine", "G6 Q13 E10 E2", """
+WITH e AS (
+  SELECT 'orders' AS "table", 'unreadable' AS cause, 'total_amount' AS "column", count(*) AS n FROM orders WHERE o_orderkey % 13 = 0
+  UNION ALL SELECT 'orders', 'unknown', 'operation', count(*) FROM orders WHERE o_orderkey % 17 = 0
+  UNION ALL SELECT 'orders', 'unreadable', 'captured_at', count(*) FROM orders WHERE o_orderkey % 19 = 0
+  UNION ALL SELECT NULL, 'malformed', NULL, count(*) FROM orders WHERE o_orderkey % 23 = 0
+  UNION ALL SELECT 'orders', 'loaded', NULL, count(*) FROM orders WHERE o_orderkey % 13 > 0 AND o_orderkey % 17 > 0 AND o_orderkey % 19 > 0)
+SELECT "table", cause, "column", CAST(n AS BIGINT) AS events FROM e WHERE n > 0""")
+def _(spark, sf):
+    """The order log with broken values, operations and stamps, and cut connector messages: every row is loaded or told."""
+    key = F.col("change_id") / 2
+    log = roles.retail_log(spark, sf, "orders").filter("change_id % 2 = 0").withColumn("_corrupt_record", F.lit(None).cast("string"))
+    broken = log.withColumns({
+        "after": F.when(key % 13 == 0, F.map_concat(F.map_filter("after", lambda k, v: k != "total_amount"), F.create_map(F.lit("total_amount"), F.lit("n/a")))).otherwise(F.col("after")),
+        "operation": F.when(key % 17 == 0, "merge").otherwise(F.col("operation")),
+        "captured_at": F.when(key % 19 == 0, "yesterday").otherwise(F.col("captured_at")),
+    })
+    cut = orders(spark, sf).filter("o_orderkey % 23 = 0").select(F.format_string('{"op": "c", "after": {"id": "%d"', "o_orderkey").alias("value"))
+    both = broken.unionByName(envelope.from_connector(cut, keep_malformed=True).select(*broken.columns))
+    loaded = retail.load_log(both, new_path(spark, "load"), {"orders": [quality.NotNull("order_id")]})
+    counts = loaded.good.groupBy("table").agg(F.count(F.lit(1)).alias("events"))
+    return error_counts(loaded.bad).unionByName(counts.withColumns({"cause": F.lit("loaded"), "column": F.lit(None).cast("string")}))
+
+
 @query("validation_view", "Q16", """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 'pending' AS status, 'insert' AS _operation FROM orders
 UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderstatus = 'F' THEN 'Delivered' WHEN o_orderstatus = 'O' THEN ' shipped'
@@ -995,6 +1080,21 @@ def _(spark, sf):
 # runs and streams -------------------------------------------------------------
 
 
+@query("history_proof", "X2", f"""
+WITH early AS (SELECT * FROM events WHERE event_id % 4 < 3), {o.scd2("early", "was", "user_id", ["event_type"], [], "ts", ["event_id"], "user_key")},
+{o.USER_DIM_ALL}
+SELECT user_id, CAST(count(*) FILTER (side = 0) AS BIGINT) AS versions_before, CAST(count(*) FILTER (side = 1) AS BIGINT) AS versions_after,
+       CAST(count(*) FILTER (side = 0 AND NOT kept) AS BIGINT) AS lost
+FROM (SELECT user_id, 0 AS side, EXISTS (FROM user_dim d WHERE d.user_id = was.user_id AND d.valid_from = was.valid_from AND d.event_type = was.event_type
+        AND (was.valid_to IS NULL OR was.valid_to = d.valid_to)) AS kept FROM was
+      UNION ALL SELECT user_id, 1, TRUE FROM user_dim) GROUP BY user_id""")
+def _(spark, sf):
+    """Version chains before and after the last quarter of the events, which comes in between the others."""
+    log = events(spark, sf)
+    before, after = scd2.scd2(log.filter("event_id % 4 < 3"), roles.USERS), scd2.scd2(log, roles.USERS)
+    return retail.history_kept(before, after, ["user_id"], ["event_type"])
+
+
 @query("idempotent_rebuild", "X1 U2", f"""WITH {o.DAILY_ALL}
 SELECT CAST(count(*) AS BIGINT) AS days, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right FROM daily""")
 def _(spark, sf):

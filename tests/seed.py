@@ -1,5 +1,6 @@
-"""The seed data as change events, generated from its formulas."""
+"""A small shop as change events: the same at every call, drawn by a fixed random sequence."""
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,13 +9,9 @@ from chronomart.schemas import ENVELOPE
 
 BASE = "2026-08-01T08:00:00+00:00"
 
-# Product prices in id order.
-PRICES = [
-    199.99, 349.50, 129.99, 79.99, 189.00, 59.95, 89.00, 175.00, 65.00, 42.50,
-    55.00, 48.00, 299.99, 149.95, 139.00, 99.50, 79.00, 45.00, 49.99, 44.50,
-    39.95, 69.00, 32.00, 46.50, 299.00, 38.00, 49.99, 119.00, 89.95, 24.50,
-]
-STATES = ["delivered", "delivered", "shipped", "pending", "cancelled"]
+PRICES = [round(4.99 + 7.35 * n, 2) for n in range(30)]
+STATES = ["pending", "shipped", "delivered", "cancelled"]
+DAYS = 17
 
 
 class Log:
@@ -60,55 +57,55 @@ def item(i, order_id, product_id, quantity):
     }
 
 
+def _orders():
+    """100 orders, five or six a day: (id, customer, time, state, [(product, units), (product, units)])."""
+    draw = random.Random(2026)
+    for i in range(1, 101):
+        at = datetime(2026, 8, 1) + timedelta(days=(i - 1) * DAYS // 100, minutes=draw.randrange(24 * 60))
+        lines = [(p, draw.randint(1, 4)) for p in draw.sample(range(1, 31), 2)]
+        yield i, draw.randint(1, 50), at, draw.choice(STATES), lines
+
+
+def _cents(lines):
+    return sum(round(PRICES[p - 1] * 100) * n for p, n in lines)
+
+
 def seed() -> Log:
     log = Log()
     for i in range(1, 51):
         log.insert("customers", customer(i))
     for i in range(1, 31):
         log.insert("products", product(i))
-        log.insert(
-            "inventory",
-            {"product_id": i, "warehouse_id": "WH-1", "stock_level": 100 + i, "updated_at": BASE},
-        )
-    for i in range(1, 101):
-        first, second = 3 * i % 30 + 1, (5 * i + 2) % 30 + 1
-        amounts = [(first, i % 3 + 1), (second, (i + 1) % 2 + 1)]
-        total = round(sum(PRICES[p - 1] * q for p, q in amounts), 2)
-        date = datetime(2026, 8, 1) + timedelta(hours=4 * i, minutes=15 * (i % 4))
-        stamp = date.isoformat() + "+00:00"
-        log.insert("orders", order(i, 7 * i % 50 + 1, stamp, STATES[i % 5], total), stamp)
-        for n, (p, q) in enumerate(amounts):
-            log.insert("order_items", item(2 * i - 1 + n, i, p, q), stamp)
+        log.insert("inventory", {"product_id": i, "warehouse_id": f"W{i % 3}", "stock_level": 20 * i, "updated_at": BASE})
+    for i, buyer, at, state, lines in _orders():
+        stamp = at.isoformat() + "+00:00"
+        log.insert("orders", order(i, buyer, stamp, state, _cents(lines) / 100), stamp)
+        for n, (p, units) in enumerate(lines):
+            log.insert("order_items", item(2 * i - 1 + n, i, p, units), stamp)
     return log
 
 
-# Day, orders, gross, delivered, mean, cancelled %, units, d/s/p/c.
-DAILY = """
-2026-08-17 5 2583.93 773.95 645.98 20.00 17 2/1/1/1
-2026-08-16 6 2166.93 1212.45 433.39 16.67 21 3/1/1/1
-2026-08-15 6 1899.95 1123.95 474.99 33.33 21 2/1/1/2
-2026-08-14 6 2372.42 1324.94 474.48 16.67 21 2/1/2/1
-2026-08-13 6 1243.46 308.48 248.69 16.67 21 2/2/1/1
-2026-08-12 6 2942.90 1132.92 588.58 16.67 21 3/1/1/1
-2026-08-11 6 2166.93 1212.45 433.39 16.67 21 3/1/1/1
-2026-08-10 6 1899.95 1123.95 474.99 33.33 21 2/1/1/2
-2026-08-09 6 2372.42 1324.94 474.48 16.67 21 2/1/2/1
-2026-08-08 6 1243.46 308.48 248.69 16.67 21 2/2/1/1
-2026-08-07 6 2942.90 1132.92 588.58 16.67 21 3/1/1/1
-2026-08-06 6 2166.93 1212.45 433.39 16.67 21 3/1/1/1
-2026-08-05 6 1899.95 1123.95 474.99 33.33 21 2/1/1/2
-2026-08-04 6 2372.42 1324.94 474.48 16.67 21 2/1/2/1
-2026-08-03 6 1243.46 308.48 248.69 16.67 21 2/2/1/1
-2026-08-02 6 2942.90 1132.92 588.58 16.67 21 3/1/1/1
-2026-08-01 5 1706.96 752.48 426.74 20.00 18 2/1/1/1
-"""
+def orders():
+    """(id, customer, time, state, cents, units) of the seed's orders."""
+    return [(i, buyer, at, state, _cents(lines), sum(n for _, n in lines)) for i, buyer, at, state, lines in _orders()]
+
+
+def half_up(a, b):
+    return (2 * a + b) // (2 * b) if b else 0
 
 
 def daily_rows():
+    """The daily mart of the seed, added up order by order."""
+    days = {}
+    for _, _, at, state, cents, units in orders():
+        days.setdefault(at.date(), []).append((state, cents, units))
     out = []
-    for line in DAILY.split("\n"):
-        if line:
-            day, orders, gross, delivered, mean, rate, units, states = line.split()
-            d, s, p, c = (int(x) for x in states.split("/"))
-            out.append((day, int(orders), float(gross), float(delivered), d, s, p, c, float(mean), int(units), float(rate)))
+    for day, own in days.items():
+        sold = [c for state, c, _ in own if state != "cancelled"]
+        count = {state: sum(o[0] == state for o in own) for state in STATES}
+        out.append((
+            str(day), len(own), sum(sold) / 100, sum(c for state, c, _ in own if state == "delivered") / 100,
+            count["delivered"], count["shipped"], count["pending"], count["cancelled"],
+            half_up(sum(sold), len(sold)) / 100, sum(u for _, _, u in own), half_up(count["cancelled"] * 10000, len(own)) / 100,
+        ))
     return sorted(out)

@@ -7,9 +7,10 @@ shingles; the groups that remain are expanded and their members verified.
 
 Nothing pairs all documents of a list. In rounds, each member is verified against
 one leader of a list, the one that it shares most with, and links merge components. A
-list is led by the set with fewest rare shingles, the least edited of near copies. Then only members that are still in different components are paired:
-the shorter prefix that suffices for the smaller set against the full prefix of the
-larger one. A pair inside one component would not change the result, so no link
+list is led by the set with fewest rare shingles, the least edited of near copies. Then
+only members that are still in different components are paired: the shorter prefix that
+suffices for the smaller set against the full prefix of the larger one, each pair in one
+list and only if their prefixes share enough. A pair inside one component would not change the result, so no link
 between components is lost. Rounds save work only; they stop when they find nothing.
 """
 
@@ -30,6 +31,8 @@ from chronomart.llm.shingles import mixed, shingle_set, word_hashes
 #: collisions only make the order, and so the candidates, worse, never the result.
 SKETCH_BITS = 20
 SEGMENT = 1 << 14
+#: Documents whose sets a worker holds at once.
+STEP = 1000
 #: Bits of the map that tells apart documents to be verified; beyond that many more are read than needed.
 BITMAP_BITS = 24
 ROUNDS = 3
@@ -58,10 +61,16 @@ def _bin(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def _steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), STEP):
+            yield batch.iloc[at : at + STEP]
+
+
 def _mark(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
+        for batch in _steps(batches):
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 s = shingle_set(word_hashes(text), k)
@@ -107,7 +116,7 @@ def prefix_length(n: int, percent: int) -> int:
 def _prefix(k: int, percent: int, frequency):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = frequency.value
-        for batch in batches:
+        for batch in _steps(batches):
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 s = shingle_set(word_hashes(text), k)
@@ -128,7 +137,7 @@ def _bits(ids: np.ndarray) -> np.ndarray:
 def _sets(k: int, bitmap):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flags = bitmap.value
-        for batch in batches:
+        for batch in _steps(batches):
             at = _bits(batch["doc_id"].fillna(0).to_numpy("int64"))
             wanted = batch[(flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
             found = [shingle_set(word_hashes(text), k) for text in wanted["text"]]
@@ -152,16 +161,16 @@ def bitmap_of(wanted: DataFrame) -> np.ndarray:
     return words.view(np.uint8)
 
 
-def shared_enough(shared: str, percent: int) -> str:
-    """SQL: may sets of sizes na, nb with so many shared prefix shingles reach the similarity?
+def shared_enough(shared: str, percent: int, na: str = "na", nb: str = "nb") -> str:
+    """SQL: may sets of sizes ``na``, ``nb`` with so many shared prefix shingles reach the similarity?
 
     Of the two, the set whose prefix ends first has all its common prefix shingles in
     the other's prefix, so the overlap is at most those plus what follows its prefix.
     """
-    rest = [f"((({percent} * {n}) + 99) div 100 - 1)" for n in ("na", "nb")]
+    rest = [f"((({percent} * {n}) + 99) div 100 - 1)" for n in (na, nb)]
     return (
-        f"100 * least(na, nb) >= {percent} * greatest(na, nb) and "
-        f"{100 + percent} * ({shared} + greatest({rest[0]}, {rest[1]})) >= {percent} * (na + nb)"
+        f"100 * least({na}, {nb}) >= {percent} * greatest({na}, {nb}) and "
+        f"{100 + percent} * ({shared} + greatest({rest[0]}, {rest[1]})) >= {percent} * ({na} + {nb})"
     )
 
 
@@ -209,19 +218,27 @@ def candidates_of_leaders(lists: DataFrame, placed: DataFrame, turn: int, percen
     return across.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
 
 
-def candidates_across(lists: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes of different components whose groups share a prefix shingle, or are one group."""
-    fields = ("gid", "n", "low", "high")
-    fields = (*fields, "pos")
-    leading = f"pos <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
-    a = lists.where(leading).select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
+def candidates_across(lists: DataFrame, placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes of different components whose groups share enough of their prefixes, or are one group.
+
+    Lists carry the prefixes of their groups, so a pair is judged where it meets: it is
+    made in the list of the first shingle that both prefixes share and in no other, and
+    only if the shared ones leave room for the similarity.
+    """
+    own = classes.join(lists.select("gid").distinct(), "gid", "left_semi").dropDuplicates(["gid"]).select("gid", "prefix")
+    lists = lists.join(own, "gid")
+    fields = ("gid", "n", "low", "high", "pos", "prefix")
+    leading = f"n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
+    a = lists.where(f"pos <= {leading}").select("token", *[F.col(c).alias(f"{c}_a") for c in fields], F.expr(f"slice(prefix, 1, int({leading}) + 1)").alias("lead"))
     b = lists.select("token", *[F.col(c).alias(f"{c}_b") for c in fields])
     near = (
         f"(n_a, gid_a) < (n_b, gid_b) and 100 * n_a >= {percent} * n_b "
         "and not (low_a = high_a and low_b = high_b and low_a = low_b) "
-        f"and {100 + percent} * (least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b)) >= {percent} * (n_a + n_b)"
+        f"and {100 + percent} * (least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b)) >= {percent} * (n_a + n_b) "
+        "and try_element_at(array_intersect(lead, prefix_b), 1) = token "
+        f"and {shared_enough('size(array_intersect(prefix_a, prefix_b))', percent, 'n_a', 'n_b')}"
     )
-    pairs = a.join(b, "token").where(near).select("gid_a", "gid_b").distinct()
+    pairs = a.join(b, "token").where(near).select("gid_a", "gid_b")
     span = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     split = span.where("low < high").select(F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b"))
     left = placed.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("comp").alias("ca"))
@@ -273,7 +290,7 @@ def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "
             break
         pairs = pairs.limit(0)
     opened = open_lists(opened.select("token", "gid", "n", "pos"), placed)
-    links = links.union(verified(candidates_across(opened, placed, percent), classes, docs, k, percent))
+    links = links.union(verified(candidates_across(opened, placed, classes, percent), classes, docs, k, percent))
     component = stored(components(links), "components")
 
     named = classes.select("c1", "c2", "node", "rep").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))

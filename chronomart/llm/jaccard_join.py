@@ -9,8 +9,8 @@ Nothing pairs all documents of a list. In rounds, each member is verified agains
 one leader of a list, the one that it shares most with, and links merge components. A
 list is led by the set with fewest rare shingles, the least edited of near copies. Then
 only members that are still in different components are paired: the shorter prefix that
-suffices for the smaller set against the full prefix of the larger one, each pair in one
-list and only if their prefixes share enough. A pair inside one component would not change the result, so no link
+suffices for the smaller set against the full prefix of the larger one, and only if their
+signatures, 512 bits of parity, leave room for the similarity. A pair inside one component would not change the result, so no link
 between components is lost. Rounds save work only; they stop when they find nothing.
 """
 
@@ -36,6 +36,8 @@ STEP = 1000
 #: Bits of the map that tells apart documents to be verified; beyond that many more are read than needed.
 BITMAP_BITS = 24
 ROUNDS = 3
+#: A set's signature: 64 bits each, a bit tells whether an odd number of shingles falls on it.
+SIGNATURE = [f"s{i}" for i in range(8)]
 
 MARKS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("c1", T.LongType()),
@@ -44,6 +46,7 @@ MARKS = T.StructType([
 PREFIXES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("c1", T.LongType()),
     T.StructField("c2", T.LongType()), T.StructField("gid", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
+    *[T.StructField(c, T.LongType()) for c in SIGNATURE],
 ])
 SETS = T.StructType([
     T.StructField("c1", T.LongType()), T.StructField("c2", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType())),
@@ -57,6 +60,11 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return tuple(both.view(np.int64).tolist())
 
 
+def signature(s: np.ndarray) -> list[int]:
+    odd = np.bincount((mixed(s, 9) >> np.uint64(64 - 9)).astype(np.int64), minlength=64 * len(SIGNATURE)) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
 def _bin(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -123,7 +131,7 @@ def _prefix(k: int, percent: int, frequency):
                 if len(s):
                     ranked = s[np.lexsort((s, often[_bin(s)]))][: prefix_length(len(s), percent)]
                     gid = mixed(np.array([digest(ranked)[0] + len(s)], np.int64).view(np.uint64)).view(np.int64)[0]
-                    rows.append((doc, len(s), *digest(s), gid, ranked.view(np.int64)))
+                    rows.append((doc, len(s), *digest(s), gid, ranked.view(np.int64), *signature(s)))
             out = pd.DataFrame(rows, columns=PREFIXES.names)
             yield out.assign(doc_id=pd.array(out["doc_id"], "Int64"))
 
@@ -161,16 +169,16 @@ def bitmap_of(wanted: DataFrame) -> np.ndarray:
     return words.view(np.uint8)
 
 
-def shared_enough(shared: str, percent: int, na: str = "na", nb: str = "nb") -> str:
-    """SQL: may sets of sizes ``na``, ``nb`` with so many shared prefix shingles reach the similarity?
+def shared_enough(shared: str, percent: int) -> str:
+    """SQL: may sets of sizes na, nb with so many shared prefix shingles reach the similarity?
 
     Of the two, the set whose prefix ends first has all its common prefix shingles in
     the other's prefix, so the overlap is at most those plus what follows its prefix.
     """
-    rest = [f"((({percent} * {n}) + 99) div 100 - 1)" for n in (na, nb)]
+    rest = [f"((({percent} * {n}) + 99) div 100 - 1)" for n in ("na", "nb")]
     return (
-        f"100 * least({na}, {nb}) >= {percent} * greatest({na}, {nb}) and "
-        f"{100 + percent} * ({shared} + greatest({rest[0]}, {rest[1]})) >= {percent} * ({na} + {nb})"
+        f"100 * least(na, nb) >= {percent} * greatest(na, nb) and "
+        f"{100 + percent} * ({shared} + greatest({rest[0]}, {rest[1]})) >= {percent} * (na + nb)"
     )
 
 
@@ -218,27 +226,32 @@ def candidates_of_leaders(lists: DataFrame, placed: DataFrame, turn: int, percen
     return across.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
 
 
+def close_enough(percent: int) -> str:
+    """SQL: may two groups with signatures a, b be similar? Unequal bits are at most the shingles that only one set has."""
+    unequal = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in SIGNATURE)
+    return f"coalesce({100 + percent} * ({unequal}) <= {100 - percent} * (n_a + n_b), true)"
+
+
 def candidates_across(lists: DataFrame, placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes of different components whose groups share enough of their prefixes, or are one group.
+    """(a, b): classes of different components whose groups share a prefix shingle and have close signatures, or are one group.
 
-    Lists carry the prefixes of their groups, so a pair is judged where it meets: it is
-    made in the list of the first shingle that both prefixes share and in no other, and
-    only if the shared ones leave room for the similarity.
+    A group of several sets has no signature and is told apart by its members later.
     """
-    own = classes.join(lists.select("gid").distinct(), "gid", "left_semi").dropDuplicates(["gid"]).select("gid", "prefix")
-    lists = lists.join(own, "gid")
-    fields = ("gid", "n", "low", "high", "pos", "prefix")
-    leading = f"n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
-    a = lists.where(f"pos <= {leading}").select("token", *[F.col(c).alias(f"{c}_a") for c in fields], F.expr(f"slice(prefix, 1, int({leading}) + 1)").alias("lead"))
+    signed = classes.join(lists.select("gid").distinct(), "gid", "left_semi").groupBy("gid").agg(
+        *[F.when(F.count("*") == 1, F.first(c)).alias(c) for c in SIGNATURE]
+    )
+    lists = lists.join(signed, "gid")
+    fields = ("gid", "n", "low", "high", "pos", *SIGNATURE)
+    leading = f"pos <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
+    a = lists.where(leading).select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
     b = lists.select("token", *[F.col(c).alias(f"{c}_b") for c in fields])
     near = (
         f"(n_a, gid_a) < (n_b, gid_b) and 100 * n_a >= {percent} * n_b "
         "and not (low_a = high_a and low_b = high_b and low_a = low_b) "
         f"and {100 + percent} * (least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b)) >= {percent} * (n_a + n_b) "
-        "and try_element_at(array_intersect(lead, prefix_b), 1) = token "
-        f"and {shared_enough('size(array_intersect(prefix_a, prefix_b))', percent, 'n_a', 'n_b')}"
+        f"and {close_enough(percent)}"
     )
-    pairs = a.join(b, "token").where(near).select("gid_a", "gid_b")
+    pairs = a.join(b, "token").where(near).select("gid_a", "gid_b").distinct()
     span = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     split = span.where("low < high").select(F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b"))
     left = placed.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("comp").alias("ca"))
@@ -266,7 +279,8 @@ def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "
     frequency = spark.sparkContext.broadcast(sketch(marks))
     prefixes = docs.mapInPandas(_prefix(k, percent, frequency), PREFIXES)
     classes = prefixes.groupBy("c1", "c2").agg(
-        F.first("n").alias("n"), F.first("gid").alias("gid"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("rep")
+        F.first("n").alias("n"), F.first("gid").alias("gid"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("rep"),
+        *[F.first(c).alias(c) for c in SIGNATURE],
     )
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
     members = classes.select("gid", "node")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from chronomart.sources.scratch import new_path
 
 #: Fixed value: what separates words in every operator that counts or compares words.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,27 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` under names that no operator uses, and the new name of every column."""
+    names = {c: f"__c{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[df[c].alias(n) for c, n in names.items()]), names
+
+
+def named_back(names: dict[str, str]) -> list[Column]:
+    return [F.col(n).alias(c) for c, n in names.items()]
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Jobs that run inside send at most so many rows at once to a Python worker."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character untouched; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)

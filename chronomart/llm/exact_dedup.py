@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronomart.llm.common import ascii_lower, stored
+from chronomart.llm.common import ascii_lower, named_back, renamed, stored
 
 #: Depth of the directory beyond what evenly spread keys would need.
 EXTRA_DEPTH = 3
@@ -94,11 +94,18 @@ def exact_dedup(docs: DataFrame, capacity: int = 1 << 20, key_bits: int = 64, id
     )
 
 
-def keep_distinct(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns; of repeated rows one stays."""
-    flags = exact_dedup(docs, **parameters).where("kept")
+def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns, whatever their names; of repeated rows one stays.
+
+    Null texts count as empty, so one row of all null and empty texts stays; among rows
+    of equal id and text a hash of all columns decides. Texts are compared whole. An
+    empty table gives an empty result.
+    """
+    rows, names = renamed(docs)
+    ident, text = names[id_col], names[text_col]
+    flags = exact_dedup(rows, id_col=ident, text_col=text, **parameters).where("kept")
     kept = flags.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    marked = docs.select("*", F.sha2(ascii_lower(F.col("text")), 256).alias("__text"))
-    rows = marked.join(kept, marked.doc_id.eqNullSafe(kept["__id"]) & (marked["__text"] == kept["__sha"]), "left_semi")
-    one = F.row_number().over(Window.partitionBy("doc_id", "__text").orderBy(F.lit(1)))
-    return rows.withColumn("__row", one).where("__row = 1").drop("__row", "__text")
+    marked = rows.withColumn("__text", F.sha2(ascii_lower(F.col(text)), 256))
+    stay = marked.join(kept, F.col(ident).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__sha")), "left_semi")
+    one = F.row_number().over(Window.partitionBy(ident, "__text").orderBy(F.xxhash64(*names.values())))
+    return stay.withColumn("__row", one).where("__row = 1").select(*named_back(names))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronomart.llm.common import components, stored
+from chronomart.llm.common import components, small_batches, stored
 from chronomart.llm.shingles import mixed, shingle_set, word_hashes
 
 #: Counters of the shingle-frequency sketch, which orders shingles by rarity. Its size is fixed:
@@ -273,8 +273,12 @@ def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "
     an empty result; other columns are not looked at. Sets are compared by 64-bit
     shingle hashes.
     """
+    with small_batches(docs.sparkSession):
+        return _join(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), percent, k)
+
+
+def _join(docs: DataFrame, percent: int, k: int) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marks = stored(docs.mapInPandas(_mark(k), MARKS), "shingle-marks")
     frequency = spark.sparkContext.broadcast(sketch(marks))
     prefixes = docs.mapInPandas(_prefix(k, percent, frequency), PREFIXES)
@@ -316,7 +320,12 @@ def jaccard_join(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "
 
 
 def keep_representatives(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group stays."""
+    """The rows of ``docs`` whose id names their component: one document of each group stays.
+
+    Rows of one id stay or go together; null ids stay where they are linked with nothing.
+    Null, empty and very long texts and empty tables are as in ``jaccard_join``; columns
+    of any name are kept.
+    """
     found = jaccard_join(docs, **parameters)
     stays = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["__id"]), "left_semi")
+    return docs.join(stays, docs[parameters.get("id_col", "doc_id")].eqNullSafe(stays["__id"]), "left_semi")

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronomart.llm.common import WORD, fraction, stored
+from chronomart.llm.common import WORD, fraction, named_back, renamed, stored
 
 #: Fixed value: weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -111,10 +111,7 @@ def split(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return nodes.select(F.col("node").alias("shard"), F.posexplode("quotas").alias("idx", "quota"))
 
 
-def mix(
-    docs: DataFrame, seed: int = 7, weights=WEIGHTS, cap: int = CAP, block_words: int = 1 << 18, shard_draws: int = 64,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **parameters) -> DataFrame:
     """The rows and columns of ``docs`` with a struct column ``__mix`` that says what the mix takes.
 
     ``__mix`` holds size, source_size, target, taken and draws, an array of (shard, pass,
@@ -122,8 +119,18 @@ def mix(
     its size; of one document per source a part may be counted, for exact quotas. Null
     text has size 0 and is never drawn; null is a source of its own. Equal rows are
     drawn one by one. The result depends on ids and ``seed`` alone, so reruns agree. An
-    empty table gives an empty result.
+    empty table gives an empty result. Texts are counted whole, however long. Columns of
+    any name are kept, but for one named ``__mix``, which is replaced.
     """
+    rows, names = renamed(docs)
+    mixed = _mix(rows, names[id_col], names[text_col], names[source_col], **parameters)
+    return mixed.select(*named_back({c: n for c, n in names.items() if c != ID}), ID)
+
+
+def _mix(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int = 7, weights=WEIGHTS, cap: int = CAP,
+    block_words: int = 1 << 18, shard_draws: int = 64,
+) -> DataFrame:
     ident = F.xxhash64(F.lit(seed), F.col(id_col))
     rows = docs.withColumn(ID, F.struct(F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), ident.alias("at")))
     slim = stored(rows.select(f"{ID}.*"), "mix-sizes")
@@ -177,15 +184,20 @@ def mix(
     return joined.select(*docs.columns, out.alias(ID))
 
 
-def mixture(docs: DataFrame, seed: int = 7, text_col: str = "text", id_col: str = "doc_id", **parameters) -> DataFrame:
+def mixture(
+    docs: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **parameters
+) -> DataFrame:
     """The mixed rows with the columns of ``docs``: one row per draw, in shards, each in its own random order.
 
     Every row carries its unchanged text: the document that an exact quota would take in
     part, one per source at most, is taken whole. So a source gets its target and less than
     one document more, and none with a target is left out. Partitions hold whole shards, so
-    written files are the shards in training order.
+    written files are the shards in training order. Nulls, ties, repeated rows, empty
+    tables and texts of any length are as in ``mix``; columns of any name are kept.
     """
-    taken = mix(docs, seed, text_col=text_col, id_col=id_col, **parameters).select("*", F.explode(f"{ID}.draws").alias("__draw"))
-    order = fraction(F.lit(seed), F.col("__draw.shard"), F.col("__draw.pass"), F.col(id_col))
+    rows, names = renamed(docs)
+    mixed = _mix(rows, names[id_col], names[text_col], names[source_col], seed, **parameters)
+    taken = mixed.select("*", F.explode(f"{ID}.draws").alias("__draw"))
+    order = fraction(F.lit(seed), F.col("__draw.shard"), F.col("__draw.pass"), F.col(names[id_col]))
     dealt = taken.withColumn("__order", order).repartitionByRange("__draw.shard").sortWithinPartitions("__draw.shard", "__order")
-    return dealt.select(*docs.columns)
+    return dealt.select(*named_back(names))

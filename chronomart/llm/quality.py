@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronomart.llm.common import stored
+from chronomart.llm.common import named_back, renamed, stored
 from chronomart.llm.shingles import mixed, word_hashes
 
 #: Documents on which the linear scorer is trained. The counts behind the labels cover all documents.
@@ -223,7 +223,11 @@ def classify(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE, id_c
     return out.select("doc_id", "junk", (F.col("junk") <= threshold).alias("kept"))
 
 
-def keep_good(docs: DataFrame, threshold: float = 0.5, **parameters) -> DataFrame:
-    """The rows of ``docs`` that the scorer doesn't reject, with their columns."""
-    weights, _, _ = train(docs, **parameters)
-    return judged(docs, weights, column="__junk").where(F.col("__junk") <= threshold).drop("__junk")
+def keep_good(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """The rows of ``docs`` that the scorer doesn't reject, with their columns, whatever their names.
+
+    Nulls, ties, repeated rows, empty tables and texts of any length are as in ``classify``.
+    """
+    weights, _, _ = train(docs, id_col=id_col, text_col=text_col, **parameters)
+    rows, names = renamed(docs)
+    return judged(rows, weights, names[text_col], "__junk").where(F.col("__junk") <= threshold).select(*named_back(names))

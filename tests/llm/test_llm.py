@@ -403,3 +403,21 @@ def test_pipeline_stages(spark, sf):
     texts = [(r.text or "").translate(LOWER) for r in docs.collect()]
     assert len(texts) == len(set(texts))
     assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+CLASHES = ["target", "idx", "of", "n_blocks", "source_size", "size", "taken", "shard", "__plan", "__mix", "__block", "__text", "__row", "__junk", "__id", "__c0", "junk", "key"]
+
+
+def test_stages_keep_columns_of_any_name(spark, odd, empty):
+    wide = lambda df: df.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(0)).cast("string")) for c in CLASHES})
+    for df in (odd, empty):
+        docs = wide(df)
+        for stage in (quality.keep_good, exact_dedup.keep_distinct, jaccard_join.keep_representatives, mixing.mixture):
+            found = stage(docs)
+            assert found.columns == docs.columns, stage
+            plain = stage(df)
+            key = lambda r: str(tuple(r))
+            rows = found.collect()
+            assert sorted(map(key, found.select(*df.columns).collect())) == sorted(map(key, plain.collect())), stage
+            assert all(r[c] == f"{c}{r.doc_id or 0}" for r in rows for c in CLASHES), stage
+    assert mixing.mix(wide(odd)).columns == [c for c in wide(odd).columns if c != "__mix"] + ["__mix"]

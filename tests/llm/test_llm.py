@@ -3,6 +3,7 @@
 import hashlib
 import html
 import math
+import random
 import re
 import string
 import zlib
@@ -341,6 +342,26 @@ def test_rans_round_trip_and_checksum(n):
         token_files.decode_blocks(symbols, freq, [bytes(broken)])
 
 
+def test_words_equal_the_library():
+    words = token_files.Words(token_files.TOKENIZER)
+    library = Tokenizer.from_file(token_files.TOKENIZER)
+    library.no_truncation()
+    library.no_padding()
+    rng = random.Random(4)
+    plain = [t.removesuffix("</w>") for t in library.get_vocab()]
+    plain = [t for t in plain if t.isascii() and t.isalpha()]
+    made = plain + ["".join(rng.choices(plain, k=2)) for _ in range(20_000)]
+    made += ["".join(rng.choices(string.ascii_letters, k=rng.randint(1, 40))) for _ in range(10_000)]
+    made += [c * k for c in string.ascii_letters for k in (1, 2, 3, 7, 500)]
+    data = [w.encode() for w in made]
+    want = [np.array(e.ids, np.uint32).tobytes() for e in library.encode_batch(made, add_special_tokens=False)]
+    assert words.ascii.encode(data) == want
+    stops = ["", ".", ",", "!!", "?!", "&&&", "$$$", "###", "***", "%%%", ";:", "'", "'s", "'.", ".'s", "1", ".1", "-a", "é.", "İ,", "ß!!", "ﬁ.", "́,"]
+    texts = [f"{w}{a} {v}{b}" for w, v in zip(made[::97], made[1::97]) for a, b in [rng.choices(stops, k=2)]]
+    found = words.encode(texts)
+    assert all(f.tolist() == [*e.ids, 1] for f, e in zip(found, library.encode_batch(texts, add_special_tokens=False)))
+
+
 def test_token_files_equal_the_library(odd, monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT", 64)
     library = Tokenizer.from_file(token_files.TOKENIZER)
@@ -371,6 +392,25 @@ def test_language_model_counts_and_gain(spark):
     assert sum(r.score - r.base_score for r in found if r.held_out) > 0.05 * sum(r.n_tokens for r in found if r.held_out)
 
 
+def test_language_model_scores_do_not_follow_the_files(spark, sf, monkeypatch):
+    monkeypatch.setattr(maxent_lm, "SHARD", 20_000)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("text is not null").limit(200)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    found = [{r.doc_id: r.score for r in maxent_lm.score(docs.repartition(n)).collect()} for n in (1, 16)]
+    assert found[0].keys() == found[1].keys()
+    assert all(abs(a - found[1][i]) <= 1e-6 * abs(a) for i, a in found[0].items())
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 1000):
+        key = np.sort(rng.integers(0, 9, n))
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        values = rng.normal(size=(n, 4))
+        want = np.array([values[key == k].sum(0) for k in np.unique(key)])
+        assert np.allclose(maxent_lm.run_sums(values, first), want)
+
+
 @pytest.mark.parametrize("run", [
     exact_dedup.exact_dedup, exact_dedup.keep_distinct, mixing.mix, mixing.mixture, jaccard_join.jaccard_join,
     jaccard_join.keep_representatives, quality.classify, quality.keep_good, bpe.round_trip, token_files.token_files, maxent_lm.score,

@@ -4,8 +4,9 @@ P(word | history) = P(class | history) * P(word | class). Frequent words are cla
 their own, the others share classes by their ending. The class is predicted by a
 softmax over hashed n-gram and skip features of the history; a word inside its class
 has its add-one unigram probability, so unseen words keep a place. Weights are trained
-by distributed gradient updates: in each round every task makes updates over its
-training documents from the common weights, and the results are averaged by tokens.
+by distributed gradient updates: in each round the training documents are dealt by a
+hash to shards of about ``SHARD`` tokens, every shard makes updates from the common
+weights, and the results are averaged by tokens. So scores do not follow the files.
 
 Word counts cover all training documents. They are summed in shards of the hash space;
 only words with a 2 ** -HOT_BITS share of all tokens, so at most 2 ** HOT_BITS of them,
@@ -31,11 +32,13 @@ from chronomart.llm.shingles import SPACES, mixed, word_hashes
 HOT_BITS = 16
 #: Classes: the end, OWN frequent words, ENDINGS shared ones.
 OWN, ENDINGS = 32, 31
-CLASSES = 1 + OWN + ENDINGS
+CLASSES = 1 + OWN + ENDINGS  # 64, a power of two
 #: Rows of the weight table: always on, then hashed features of each kind.
 KINDS = (CLASSES, 4096, 2048, 2048, 1024)
 FEATURES = 1 + sum(KINDS)
 BATCH, RATE, ROUNDS = 8192, 0.35, 1
+#: Weights are averaged over shards of so many training tokens, in so many shards at most: larger ones then.
+SHARD, SHARDS = 1 << 21, 1 << 15
 DOCS = 1024
 #: Sums of logarithms are whole units, so that they are equal under any partitioning.
 UNIT = 1e12
@@ -56,9 +59,10 @@ def ending_classes(text: str | None) -> np.ndarray:
 
 
 def features(classes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """(tokens, kinds + 1) rows of the weight table for each token of one document, the end included.
+    """(kinds, tokens) rows of the weight table for each token of one document, the end included.
 
-    The history before the first word is filled with the end.
+    Row 0 of the table, which is always on, is left out. The history before the first
+    word is filled with the end.
     """
     c = np.concatenate([np.zeros(3, np.int64), classes.astype(np.int64)])
     h = np.concatenate([np.full(3, END_HASH, np.uint64), hashes])
@@ -66,32 +70,56 @@ def features(classes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     c1, c2, c3, h1, h2 = c[2 : 2 + n], c[1 : 1 + n], c[:n], h[2 : 2 + n], h[1 : 1 + n]
     pair = mixed((c1 * CLASSES + c2).astype(np.uint64), 11)
     skip = mixed((c2 * CLASSES + c3).astype(np.uint64), 12)
-    out = np.zeros((n, 1 + len(KINDS)), np.int64)
+    out = np.zeros((len(KINDS), n), np.uint16)
     at = 1
     for k, (values, width) in enumerate(zip((c1, pair, mixed(h1, 13), skip, mixed(h2, 14)), KINDS)):
-        out[:, k + 1] = at + (values.astype(np.uint64) % np.uint64(width)).astype(np.int64)
+        out[k] = values.astype(np.uint64) % np.uint64(width) + np.uint64(at)
         at += width
     return out
 
 
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def run_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that start at ``first``: neighbours inside a run are added until one row of it is left."""
+    length = np.diff(np.append(first, len(values)))
+    while len(values) > len(first):
+        half = (length + 1) // 2
+        begin = np.cumsum(half) - half
+        left = np.arange(half.sum()) * 2 + np.repeat(first - 2 * begin, half)
+        both = np.flatnonzero(left + 1 < np.repeat(first + length, half))
+        added = values[left]
+        added[both] += values[left[both] + 1]
+        values, first, length = added, begin, half
+    return values
+
+
+def exponentials(w: np.ndarray, rows: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials of the class scores, their sums, the score of each target), the largest score of a token set to 0."""
+    z = w[rows[0]]
+    for row in rows[1:]:
+        z += w[row]
+    z += w[0]
+    top = z
+    for half in (32, 16, 8, 4, 2, 1):
+        top = np.maximum(top[:, :half], top[:, half : 2 * half])
+    z -= top
+    own = z[np.arange(len(target)), target]
+    np.exp(z, out=z)
+    return z, z.sum(1), own
 
 
 def update(w: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One gradient step on a batch; a row moves by its mean error, so rare features move as far as frequent ones."""
-    z = w[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        z = z + w[rows[:, k]]
-    error = np.exp(log_softmax(z))
+    error, sums, _ = exponentials(w, rows, target)
+    error /= sums[:, None]
     error[np.arange(len(target)), target] -= 1
-    for k in range(rows.shape[1]):
-        order = np.argsort(rows[:, k], kind="stable")
-        used, first = np.unique(rows[order, k], return_index=True)
-        sums = np.add.reduceat(error[order], first, axis=0)
-        count = np.diff(np.append(first, len(order)))[:, None]
-        w[used] -= RATE * sums / (count + 4)
+    w[0] -= RATE * error.sum(0) / (len(target) + 4)
+    for row in rows:
+        # 16-bit keys are sorted by radix.
+        order = np.argsort(row, kind="stable")
+        key = row[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        count = np.diff(np.append(first, len(key)))[:, None]
+        w[key[first]] -= run_sums(error[order], first) * (RATE / (count + 4)).astype(np.float32)
 
 
 class Model:
@@ -183,7 +211,7 @@ def _hot(least: float):
 
 
 def _train(model, weights):
-    """Updates over a task's training documents; returns weights times tokens, in slices of rows."""
+    """Updates over a shard's training documents; returns its weights, in slices of rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, w, tokens = model.value, weights.value.copy(), 0
@@ -193,9 +221,9 @@ def _train(model, weights):
 
         def flush() -> None:
             nonlocal tokens
-            x, y = np.concatenate(rows), np.concatenate(target)
+            x, y = np.concatenate(rows, axis=1), np.concatenate(target)
             for k in range(0, len(y), BATCH):
-                update(w, x[k : k + BATCH], y[k : k + BATCH])
+                update(w, x[:, k : k + BATCH], y[k : k + BATCH])
             tokens += len(y)
 
         for batch in batches:
@@ -212,7 +240,7 @@ def _train(model, weights):
             flush()
         if tokens:
             for k in range(0, FEATURES, CHUNK):
-                yield pd.DataFrame({"slice": [k], "tokens": [tokens], "sums": [(w[k : k + CHUNK].astype(np.float64) * tokens).tobytes()]})
+                yield pd.DataFrame({"slice": [k], "tokens": [tokens], "sums": [w[k : k + CHUNK].tobytes()]})
 
     return run
 
@@ -222,7 +250,7 @@ def _averaged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     tokens: dict[int, int] = {}
     for batch in batches:
         for k, n, data in zip(batch["slice"], batch["tokens"], batch["sums"]):
-            got = np.frombuffer(data, np.float64)
+            got = np.frombuffer(data, np.float32).astype(np.float64) * n
             sums[k] = sums[k] + got if k in sums else got
             tokens[k] = tokens.get(k, 0) + n
     yield pd.DataFrame({"slice": list(sums), "tokens": list(tokens.values()), "sums": [x.tobytes() for x in sums.values()]})
@@ -258,12 +286,8 @@ def _score(model, weights, shard_bits: int):
                     x = features(classes, np.append(hashes, END_HASH))
                     total = 0.0
                     for at in range(0, len(classes), BATCH):
-                        rows, y = x[at : at + BATCH], classes[at : at + BATCH]
-                        z = w[rows[:, 0]]
-                        for f in range(1, rows.shape[1]):
-                            z = z + w[rows[:, f]]
-                        z -= z.max(1, keepdims=True)
-                        total += float((z[np.arange(len(y)), y] - np.log(np.exp(z).sum(1))).astype(np.float64).sum())
+                        _, sums, own = exponentials(w, x[:, at : at + BATCH], classes[at : at + BATCH])
+                        total += float((own - np.log(sums)).astype(np.float64).sum())
                     scores.append(total / math.log(10) - float(m.log_z[classes].sum()))
                     hot = place[place >= 0]
                     sizes.append(len(classes))
@@ -328,15 +352,16 @@ def score(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_co
     lower-cased, and one end. Null and empty texts have the end only. Repeated rows
     count as often as they occur. Without training documents all counts are zero and
     the model is uniform over its classes. An empty table gives an empty result; other
-    columns are not looked at. Words are told apart by 64-bit hashes.
+    columns are not looked at. Very long texts are scored whole, in steps. Scores are
+    equal up to rounding however the table is partitioned. Words are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
-    train = rows.where("not held_out").select("text")
+    train = rows.where("not held_out").select("doc_id", "text")
     parts = max(2, docs.rdd.getNumPartitions())
     bits = max(3, math.ceil(math.log2(parts)))
-    packed = train.mapInPandas(_count(bits), "shard long, u binary, c binary, e binary")
+    packed = train.select("text").mapInPandas(_count(bits), "shard long, u binary, c binary, e binary")
     sums = "shard long, n long, v long, u binary, c binary, e binary, in_ending array<long>, of_ending array<long>"
     counts = stored(packed.groupBy("shard").applyInPandas(_sum_shard, sums), "word-counts")
     each = [F.sum(F.col(name)[k]).alias(f"{name}{k}") for name in ("in_ending", "of_ending") for k in range(ENDINGS)]
@@ -348,8 +373,11 @@ def score(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_co
     made = Model(n, v, train_docs, hot["u"].to_numpy(np.int64).view(np.uint64), hot["c"].to_numpy(np.int64), hot["e"].to_numpy(np.int64), *inside)
     model = spark.sparkContext.broadcast(made)
     w = made.initial()
+    # Shards and the order inside follow from ids and texts, not from the files that hold them.
+    place = F.xxhash64("doc_id", "text")
+    shards = train.repartition(min(max(1, math.ceil(n / SHARD)), SHARDS), place).sortWithinPartitions(place, "doc_id", "text").select("text")
     for _ in range(rounds):
-        moved = train.mapInPandas(_train(model, spark.sparkContext.broadcast(w)), "slice int, tokens long, sums binary")
+        moved = shards.mapInPandas(_train(model, spark.sparkContext.broadcast(w)), "slice int, tokens long, sums binary")
         found = moved.repartition(F.col("slice")).mapInPandas(_averaged, moved.schema).collect()  # the weight table, of fixed size
         for r in found:
             w[r.slice : r.slice + CHUNK] = (np.frombuffer(r.sums, np.float64) / r.tokens).reshape(-1, CLASSES)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronomart.operators.ordered import null_safe_on
 
+_BUCKET = "_bucket"
+
 
 def snapshot_diff(
     old: DataFrame, new: DataFrame, keys: list[str], table: str, captured_at: str | None = None
@@ -45,6 +48,45 @@ def snapshot_diff(
     )
 
 
+def write_snapshot(df: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """A snapshot in folders by key bucket, with a digest of every bucket beside it.
+
+    A digest is the count and two 64-bit sums of row hashes, so it doesn't depend on
+    the order of rows and repeated rows count. Rows are hashed as they are written.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    df.withColumn(_BUCKET, bucket).hint("rebalance", F.col(_BUCKET)).write.partitionBy(_BUCKET).mode("overwrite").parquet(f"{path}/rows")
+    df.limit(0).write.mode("overwrite").parquet(f"{path}/columns")
+    rows = _stored_rows(df.sparkSession, path)
+    names = df.columns
+    # Nulls leave a hash as it was: their places are hashed with the values.
+    hashed = [*[F.col(c) for c in names], *[F.col(c).isNull() for c in names]]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *hashed).cast("decimal(38,0)")).alias(f"sum{seed}") for seed in (1, 2)]
+    digests = rows.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("rows"), *sums)
+    digests.coalesce(1).write.mode("overwrite").parquet(f"{path}/digests")  # one short row per bucket
+
+
+def _stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a stored snapshot, also of one without any."""
+    fields = spark.read.parquet(f"{path}/columns").schema.fields
+    return spark.read.schema(T.StructType([*fields, T.StructField(_BUCKET, T.IntegerType())])).parquet(f"{path}/rows")
+
+
+def changed_buckets(spark: SparkSession, old: str, new: str) -> list[int]:
+    """The buckets whose digests differ: at most as many numbers as there are buckets."""
+    both = spark.read.parquet(f"{old}/digests").unionByName(spark.read.parquet(f"{new}/digests"))
+    # A bucket that is alike on both sides shows up as one group of two.
+    alike = both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("sides"))
+    return sorted(r[0] for r in alike.filter("sides = 1").select(_BUCKET).distinct().collect())
+
+
+def stored_snapshot_diff(spark: SparkSession, old: str, new: str, keys: list[str], table: str, captured_at: str | None = None) -> DataFrame:
+    """``snapshot_diff`` of two snapshots by ``write_snapshot`` with the same keys and buckets: equal buckets are not read."""
+    changed = changed_buckets(spark, old, new)
+    left, right = (_stored_rows(spark, p).filter(F.col(_BUCKET).isin(changed)).drop(_BUCKET) for p in (old, new))
+    return snapshot_diff(left, right, keys, table, captured_at)
+
+
 def diff_runs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose number of copies differs: ``surplus`` > 0 on the left, < 0 on the right.
 

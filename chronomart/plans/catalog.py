@@ -344,7 +344,7 @@ def _(spark, sf):
     )
 
 
-@query("snapshot_diff", "E9 J7 F16", """
+SNAPSHOT_DIFF = """
 WITH new_c AS (
   SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal
   FROM customer WHERE c_acctbal >= 0
@@ -353,16 +353,21 @@ SELECT coalesce(n.c_custkey, c.c_custkey) AS c_custkey,
        CASE WHEN c.c_custkey IS NULL THEN 'insert' WHEN n.c_custkey IS NULL THEN 'delete' ELSE 'update' END AS operation,
        c.c_acctbal AS before_balance, n.c_acctbal AS after_balance
 FROM customer c FULL JOIN new_c n ON c.c_custkey = n.c_custkey
-WHERE c.c_custkey IS NULL OR n.c_custkey IS NULL OR c.c_acctbal <> n.c_acctbal""")
-def _(spark, sf):
+WHERE c.c_custkey IS NULL OR n.c_custkey IS NULL OR c.c_acctbal <> n.c_acctbal"""
+
+
+def snapshots(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Customers, and the same with balances raised, debtors removed and customers added."""
     old = customer(spark, sf).select("c_custkey", "c_name", "c_acctbal")
     raised = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal"))
     kept = customer(spark, sf).filter("c_acctbal >= 0").select("c_custkey", "c_name", raised.alias("c_acctbal"))
     added = customer(spark, sf).filter("c_mktsegment = 'MACHINERY'").select(
         (F.col("c_custkey") + 1_000_000_000).alias("c_custkey"), "c_name", "c_acctbal"
     )
-    changes = diff.snapshot_diff(old, kept.unionByName(added), ["c_custkey"], "customers")
+    return old, kept.unionByName(added)
 
+
+def balances(changes: DataFrame) -> DataFrame:
     def balance(state):
         return to_double(field(F.from_json(state, ROW_IMAGE), "c_acctbal"))
 
@@ -372,6 +377,20 @@ def _(spark, sf):
     )
 
 
+@query("snapshot_diff", "E9 J7 F16", SNAPSHOT_DIFF)
+def _(spark, sf):
+    return balances(diff.snapshot_diff(*snapshots(spark, sf), ["c_custkey"], "customers"))
+
+
+@query("snapshot_diff_stored", "E9 J7 U2", SNAPSHOT_DIFF)
+def _(spark, sf):
+    """Stored snapshots with digests per key bucket; buckets that are alike are not read."""
+    paths = [new_path(spark, "snapshot") for _ in range(2)]
+    for rows, path in zip(snapshots(spark, sf), paths):
+        diff.write_snapshot(rows, path, ["c_custkey"], 64)
+    return balances(diff.stored_snapshot_diff(spark, *paths, ["c_custkey"], "customers"))
+
+
 @query("dedupe_batch", "T2", f"""
 WITH {o.CHANGES}
 SELECT "table", operation, CAST(count(*) AS BIGINT) AS events, CAST(sum(change_id) AS BIGINT) AS id_sum
@@ -638,11 +657,25 @@ query("pit_items", "J8 J2", _PIT_ITEMS)(_pit_items("interval"))
 query("asof_items", "J8 J3", _PIT_ITEMS)(_pit_items("asof"))
 
 
+def bucketed_orders(spark, sf, buckets: int = 16) -> list[DataFrame]:
+    found = []
+    for name in ("stg_orders", "stg_order_items"):
+        path = new_path(spark, name)
+        found.append(changelog.bucketed(view(spark, sf, name), path.rsplit("/", 1)[1].replace("-", "_"), ["order_id"], buckets, path))
+    return found
+
+
 @query("orders_with_items", "J1 A1 F9", f"WITH {o.ORDERS_BASE} SELECT * FROM orders_base")
 def _(spark, sf):
     return facts.orders_base(view(spark, sf, "stg_orders"), view(spark, sf, "stg_order_items"))
 
 
+@query("orders_with_items_bucketed", "J1 K5", f"WITH {o.ORDERS_BASE} SELECT * FROM orders_base")
+def _(spark, sf):
+    """The same over tables in buckets by order: no exchange below the join."""
+    return facts.orders_base(*bucketed_orders(spark, sf))
+
+
 @query("order_summary", "A1", f"""WITH {o.ORDERS_BASE}
 SELECT order_id, CAST(total_items AS BIGINT) AS total_items, total_quantity, calculated_item_total FROM summary""")
 def _(spark, sf):
@@ -725,6 +758,24 @@ def _(spark, sf):
     return marts.kpis(order_facts(spark, sf))
 
 
+@query("distinct_customers_by_sketch", "A10", """
+SELECT o_orderpriority, count(DISTINCT o_custkey) AS customers, TRUE AS within_bound FROM orders GROUP BY o_orderpriority
+UNION ALL SELECT NULL, count(DISTINCT o_custkey), TRUE FROM orders""")
+def _(spark, sf):
+    """Stored sketches per (day, priority), merged to priorities and to one total, beside the exact counts; bound: four standard errors."""
+    rows = orders(spark, sf)
+    sketches = stored(marts.distinct_sketches(rows, ["o_orderdate", "o_orderpriority"], "o_custkey"), "sketches")
+    exact = F.count_distinct("o_custkey").alias("customers")
+    by = rows.groupBy("o_orderpriority").agg(exact).join(
+        marts.distinct_estimates(sketches, ["o_orderpriority"]).withColumnRenamed("o_orderpriority", "_p"),
+        F.col("o_orderpriority").eqNullSafe(F.col("_p")),
+    ).drop("_p")
+    total = rows.agg(exact).join(marts.distinct_estimates(sketches, []), how="cross")  # one row each
+    both = by.unionByName(total.withColumn("o_orderpriority", F.lit(None).cast("string")))
+    close = F.abs(F.col("estimate") - F.col("customers")) <= F.greatest(F.lit(1.0), F.col("customers") * (4 * 1.04 / 64))
+    return both.select("o_orderpriority", "customers", close.alias("within_bound"))
+
+
 @query("status_breakdown", "A11 A12", f"""WITH {o.FACTS}, g AS (
   SELECT status, count(*) AS n, CAST(sum({o.cents('total_amount')}) AS BIGINT) AS revenue FROM fct GROUP BY status),
 t AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM g)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from chronomart.operators import facts, joins, latest, marts, scd2
 from chronomart.operators.diff import diff_runs
-from chronomart.plans import roles
+from chronomart.plans import catalog, roles
 
 
 def plan(df):
@@ -99,3 +99,15 @@ def test_aqe_splits_a_hot_fact_key(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, sf):
+    orders, items = catalog.bucketed_orders(spark, sf, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = facts.orders_base(orders, items)
+        assert joined.count() == orders.count()
+        text = plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text and "SortMergeJoin" in text

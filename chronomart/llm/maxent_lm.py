@@ -79,17 +79,14 @@ def features(classes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def run_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the runs of rows that start at ``first``: neighbours inside a run are added until one row of it is left."""
+    """Sums of the runs of rows that start at ``first``, each by one product with a vector of ones."""
     length = np.diff(np.append(first, len(values)))
-    while len(values) > len(first):
-        half = (length + 1) // 2
-        begin = np.cumsum(half) - half
-        left = np.arange(half.sum()) * 2 + np.repeat(first - 2 * begin, half)
-        both = np.flatnonzero(left + 1 < np.repeat(first + length, half))
-        added = values[left]
-        added[both] += values[left[both] + 1]
-        values, first, length = added, begin, half
-    return values
+    sums = values[first]
+    ones = np.ones(length.max(), values.dtype)
+    several = np.flatnonzero(length > 1)
+    for run, start, n in zip(several.tolist(), first[several].tolist(), length[several].tolist()):
+        np.dot(ones[:n], values[start : start + n], out=sums[run])
+    return sums
 
 
 def exponentials(w: np.ndarray, rows: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -29,6 +29,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronomart.llm.common import small_batches, stored
+
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Words compiled into the lexicon, at most: about 2 MB.
 LEXICON = 40_000
@@ -448,4 +450,6 @@ def round_trip(docs: DataFrame, path: str = TOKENIZER, id_col: str = "doc_id", t
     """Encodes and decodes every text: doc_id, n_tokens, ids_sha256, decoded_sha256. Cases as in ``encode``."""
     name = lexicon_of(docs, path, text_col)
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _slim(docs, id_col, text_col).mapInPandas(_mapped(path, name, _digests), kinds)
+    made = _slim(docs, id_col, text_col).mapInPandas(_mapped(path, name, _digests), kinds)
+    with small_batches(docs.sparkSession):  # a batch of texts and its ids stay small beside the words of a worker
+        return stored(made, "digests")

@@ -40,6 +40,13 @@ def test_query_matches_sql(spark, sf, duck, name):
     assert got
 
 
+def test_multi_version_shows_whole_versions_to_the_second(spark, sf):
+    df = CATALOG["multi_version"].run(spark, sf)
+    names = "product_key product_id name category price is_current valid_from valid_to"
+    assert df.columns == names.split()
+    assert {len(r.valid_from) for r in df.select("valid_from").collect()} == {19}
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 

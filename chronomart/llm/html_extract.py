@@ -23,8 +23,6 @@ PATH, WORDS, MEASURES, HIDDEN = 384, 48, 6, 20
 INPUT = PATH + WORDS + MEASURES
 #: Blocks in one scoring batch, padding included.
 BATCH_BLOCKS = 16384
-#: Words of a block that the labeller hashes.
-VIEW = 32
 
 #: Names of containers in the generated layouts.
 ARTICLE_NAMES = "article content post entry story main body text page blog news single hentry markdown prose".split()
@@ -174,9 +172,9 @@ def _word_bin(word: str) -> int:
 
 
 def described(flat: list[Block]) -> np.ndarray:
-    """Hashed words and measures of blocks. The labeller views the first words of a block; the text itself stays whole."""
+    """Hashed words and measures of blocks, over all words of a block."""
     x = np.zeros((len(flat), WORDS + MEASURES))
-    views = [block.text.split(" ", VIEW)[:VIEW] for block in flat]
+    views = [block.text.split(" ") for block in flat]
     sizes = np.array([len(v) for v in views])
     np.add.at(x, (np.repeat(np.arange(len(flat)), sizes), [_word_bin(w) for v in views for w in v]), np.repeat(1 / np.maximum(sizes, 1), sizes))
     n = np.array([len(b.text) for b in flat])

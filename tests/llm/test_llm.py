@@ -213,6 +213,13 @@ def test_html_labeller_on_unseen_layouts_and_gradient():
         own[name][at] = kept
 
 
+def test_html_labeller_reads_all_words_of_a_block():
+    page = [blocks("<p>" + " ".join([*["word"] * 100, last]) + "</p>") for last in ("final", "tail")]
+    one, other = (html_extract.described(p)[0, : html_extract.WORDS] for p in page)
+    assert len(set(map(html_extract._word_bin, ("word", "final", "tail")))) == 3
+    assert (one != other).sum() == 2 and abs(one.sum() - 1) < 1e-9 and one[html_extract._word_bin("final")] == pytest.approx(1 / 101)
+
+
 def test_html_blocks_of_broken_pages():
     page = "<p>a&amp b<br>c<p>d <b>e</p><ul><li>x<li>y</ul><script>if (a<b) '</p>'</script>&lt;z&#233;<!-- q --><div>t"
     assert [b.text for b in blocks(page)] == ["a& b c", "d e", "x", "y", "<zé", "t"]

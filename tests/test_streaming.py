@@ -11,6 +11,8 @@ from chronomart.plans import retail, roles
 from chronomart.plans.catalog import event_stream
 from chronomart.schemas import ENVELOPE
 from chronomart.sources import changelog
+from chronomart.sources.changelog import list_folder
+from chronomart.sources.scratch import shared_dir
 from chronomart.streaming.ingest import ONCE, append_new, dedupe_stream, gate_batch, ingest_stream
 from chronomart.streaming.maintain import IncrementalWarehouse, maintain_stream
 from chronomart.streaming.windows import daily_sales_stream, read_windows, start_windows
@@ -230,3 +232,14 @@ def test_event_stream_reads_a_folder_of_part_files(spark, sf, tmp_path):
     query = event_stream(spark, str(tmp_path)).writeStream.format("parquet").option("path", str(tmp_path / "out"))
     finish(query.option("checkpointLocation", str(tmp_path / "ckpt")).trigger(**ONCE).start())
     assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()
+
+
+def test_a_batch_leaves_nothing_behind_but_the_warehouse(spark, tmp_path):
+    kept = lambda: {n for n in list_folder(spark, shared_dir(spark)) if n.startswith("batch-")}
+    before, checkpoints = kept(), spark.sparkContext._jsc.sc().getCheckpointDir()
+    held = lambda: set(list_folder(spark, checkpoints.get())) if checkpoints.isDefined() else set()
+    stored = held()
+    warehouse = IncrementalWarehouse(spark, str(tmp_path / "wh"))
+    warehouse.apply(roles.retail_log(spark, "/root/testdata/sf0.001").filter("change_id % 7 = 0"), 0)
+    assert warehouse.tables()["fct_orders"].count() > 0
+    assert kept() == before and held() == stored

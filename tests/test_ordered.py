@@ -191,3 +191,14 @@ def joined_rows(df):
         children = node.children()
         todo += [children.apply(i) for i in range(children.size())]
     return out
+
+
+def test_hot_groups_are_counted_from_the_given_sizes(spark):
+    """Counting neither runs the rows, which fail here if run, nor changes them: a key may be named more often than it is."""
+    rows = log(spark, 5)
+    broken = rows.withColumn("change_id", F.raise_error(F.lit("run for a count")).cast("long"))
+    named = rows.select("k").union(rows.select("k"))
+    work = lambda groups: groups.number("n")
+    assert per_group(broken, ["k"], ["valid_from", "change_id"], work, hot_rows=10_000, sizes=named).columns[-1] == "n"
+    plain = per_group(rows, ["k"], ["valid_from", "change_id"], work, hot_rows=None)
+    assert same(plain, per_group(rows, ["k"], ["valid_from", "change_id"], work, sizes=named, **SMALL))

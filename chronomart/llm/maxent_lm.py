@@ -44,6 +44,10 @@ DOCS = 1024
 UNIT = 1e12
 END_HASH = np.uint64(0xE4D)
 CHUNK = 512
+#: Tokens whose class scores stay in a core's cache; scores up to SAFE need no shift before their exponentials.
+CACHED, SAFE = 512, 40
+#: Rows of a run of equal features that are added step by step with those of all other runs.
+STEPS = 32
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
@@ -78,30 +82,48 @@ def features(classes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def run_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the runs of rows that start at ``first``, each by one product with a vector of ones."""
-    length = np.diff(np.append(first, len(values)))
-    sums = values[first]
-    ones = np.ones(length.max(), values.dtype)
-    several = np.flatnonzero(length > 1)
-    for run, start, n in zip(several.tolist(), first[several].tolist(), length[several].tolist()):
-        np.dot(ones[:n], values[start : start + n], out=sums[run])
-    return sums
+def run_sums(values: np.ndarray, first: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """Sums of runs of rows that start at ``first``, of ``values`` or of ``values[at]``.
+
+    All runs add a row at each step; what is left of the few long ones is summed by products with a vector of ones.
+    """
+    at = np.arange(len(values)) if at is None else at
+    length = np.diff(np.append(first, len(at)))
+    longest = np.argsort(-length, kind="stable")
+    first, length = first[longest], length[longest]
+    sums = values[at[first]]
+    for step in range(1, min(length[0], STEPS)):
+        going = np.searchsorted(-length, -step)
+        sums[:going] += values[at[first[:going] + step]]
+    ones = np.ones(length[0], values.dtype)
+    for run in range(np.searchsorted(-length, -STEPS)):
+        left = values[at[first[run] + STEPS : first[run] + length[run]]]
+        sums[run] += ones[: len(left)] @ left
+    out = np.empty_like(sums)
+    out[longest] = sums
+    return out
 
 
 def exponentials(w: np.ndarray, rows: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(exponentials of the class scores, their sums, the score of each target), the largest score of a token set to 0."""
-    z = w[rows[0]]
-    for row in rows[1:]:
-        z += w[row]
-    z += w[0]
-    top = z
-    for half in (32, 16, 8, 4, 2, 1):
-        top = np.maximum(top[:, :half], top[:, half : 2 * half])
-    z -= top
-    own = z[np.arange(len(target)), target]
-    np.exp(z, out=z)
-    return z, z.sum(1), own
+    """(exponentials of the class scores, their sums, the score of each target).
+
+    Where some score of a step lies beyond ``SAFE``, the largest of each token is set to 0 first, so none overflows.
+    """
+    out, sums, own = np.empty((len(target), CLASSES), w.dtype), np.empty(len(target), w.dtype), np.empty(len(target), w.dtype)
+    ones, term = np.ones(CLASSES, w.dtype), np.empty((min(len(target), CACHED), CLASSES), w.dtype)
+    for k in range(0, len(target), CACHED):
+        z, y = out[k : k + CACHED], target[k : k + CACHED]
+        more = term[: len(y)]
+        np.take(w, rows[0, k : k + CACHED], 0, out=z, mode="clip")
+        for row in rows[1:, k : k + CACHED]:
+            z += np.take(w, row, 0, out=more, mode="clip")
+        z += w[0]
+        if not (-SAFE < z.min() and z.max() < SAFE):
+            z -= z.max(1, keepdims=True)
+        own[k : k + CACHED] = z[np.arange(len(y)), y]
+        np.exp(z, out=z)
+        np.dot(z, ones, out=sums[k : k + CACHED])
+    return out, sums, own
 
 
 def update(w: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
@@ -110,13 +132,13 @@ def update(w: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     error /= sums[:, None]
     error[np.arange(len(target)), target] -= 1
     w[0] -= RATE * error.sum(0) / (len(target) + 4)
-    for row in rows:
-        # 16-bit keys are sorted by radix.
-        order = np.argsort(row, kind="stable")
-        key = row[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        count = np.diff(np.append(first, len(key)))[:, None]
-        w[key[first]] -= run_sums(error[order], first) * (RATE / (count + 4)).astype(np.float32)
+    # Kinds have rows of their own, so all are moved at once; 16-bit keys are sorted by radix.
+    key = rows.ravel()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    count = np.diff(np.append(first, len(key)))[:, None]
+    w[key[first]] -= run_sums(error, first, order % len(target)) * (RATE / (count + 4)).astype(np.float32)
 
 
 class Model:

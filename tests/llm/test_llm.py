@@ -418,6 +418,27 @@ def test_sums_of_runs():
         assert np.allclose(maxent_lm.run_sums(values, first), want)
 
 
+def test_sums_of_runs_at_positions():
+    rng = np.random.default_rng(4)
+    key, at = np.sort(rng.zipf(1.5, 3000) % 500), rng.integers(0, 600, 3000)
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    values = rng.normal(size=(600, 4))
+    want = np.array([values[at[key == k]].sum(0) for k in np.unique(key)])
+    assert np.diff(first).max() > 2 * maxent_lm.STEPS and np.allclose(maxent_lm.run_sums(values, first, at), want)
+
+
+@pytest.mark.parametrize("scale", [1, 1000])
+def test_exponentials_of_long_texts_in_steps(scale):
+    rng = np.random.default_rng(5)
+    n = 2 * maxent_lm.CACHED + 3
+    w = (scale * rng.normal(size=(50, maxent_lm.CLASSES))).astype(np.float32)
+    rows, target = rng.integers(1, 50, (5, n)).astype(np.uint16), rng.integers(0, maxent_lm.CLASSES, n)
+    found, sums, own = maxent_lm.exponentials(w, rows, target)
+    z = w[rows].sum(0).astype(np.float64) + w[0]
+    want = z - z.max(1, keepdims=True) - np.log(np.exp(z - z.max(1, keepdims=True)).sum(1, keepdims=True))
+    assert np.isfinite(found).all() and np.allclose(own - np.log(sums), want[np.arange(n), target], rtol=1e-4, atol=1e-3 * scale)
+
+
 @pytest.mark.parametrize("run", [
     exact_dedup.exact_dedup, exact_dedup.keep_distinct, mixing.mix, mixing.mixture, jaccard_join.jaccard_join,
     jaccard_join.keep_representatives, quality.classify, quality.keep_good, bpe.round_trip, token_files.token_files, maxent_lm.score,

@@ -27,6 +27,8 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -47,6 +49,8 @@ SCALE = 20
 LOW = np.uint64(1 << 31)
 #: After so many new words a worker forgets those that it has not met since as many before.
 REMEMBERED = 300_000
+#: Texts whose words are numbered together.
+ROWS_AT_ONCE = 1024
 #: Words of letters that go to the library as one text.
 JOINED = 512
 #: A run of these after letters is a pre-token of its own.
@@ -102,7 +106,7 @@ class AsciiWords:
 
 
 class Words:
-    """Ids of whole texts as by the tokenizers library, each word once; new words of a batch go to it together.
+    """Ids of whole texts as by the tokenizers library, each word of a batch once; new ones go to it together.
 
     The file's pre-tokens never hold white space, so words between ASCII white space can
     be encoded on their own, and so can a stop after letters. The last id of a pre-token
@@ -166,7 +170,7 @@ class Words:
                 others.remove(data)
         cores = [w.rstrip(stops) for w in stopped]
         tails = [w[len(core) :] for w, core in zip(stopped, cores)]
-        both = set(cores)
+        both = set(cores).difference(known)
         plain.update([w for w in both if w.isalpha()])
         letters.update(both - plain)
         others.update(tails)
@@ -179,20 +183,29 @@ class Words:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         data = [t.encode("utf-8", "surrogatepass") for t in texts]
         whole = [b"<|" in d and any(s in d for s in self.special) for d in data]
-        words = [[] if w else d.split() for d, w in zip(data, whole)]
+        # Arrow splits and numbers the words, so only the distinct ones of a batch become Python objects.
+        split = pc.ascii_split_whitespace(pa.array([b"" if w else d for d, w in zip(data, whole)], pa.large_binary()).view(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.view(pa.large_binary()).to_pylist()
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        new = set().union(*words).difference(known)
+        known[b""] = b""  # what stands before or after white space at the edge of a text
+        new = set(words).difference(known)
         again = new.intersection(older)
         known.update((w, older[w]) for w in again)
         self._learn(new - again)
-        end = np.uint32(END).tobytes()
-        out = []
-        for text, row, w in zip(texts, words, whole):
-            ids = self._ids([text])[0].tobytes() if w else b"".join(map(known.__getitem__, row))
-            out.append(np.frombuffer(ids + end, np.uint32))
-        return out
+        found = list(map(known.__getitem__, words))
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(length) - length
+        word = coded.indices.to_numpy()
+        n = length[word]
+        ends = np.append(0, np.cumsum(n))
+        flat = ids[np.repeat(first[word] - ends[:-1], n) + np.arange(ends[-1])]
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        end = np.uint32(END)
+        return [np.append(self._ids([t])[0] if w else flat[a:b], end) for t, w, a, b in zip(texts, whole, cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -314,8 +327,8 @@ def _write(path: str):
             })
 
         for batch in batches:
-            for k in range(0, len(batch), 512):
-                rows = batch.iloc[k : k + 512]
+            for k in range(0, len(batch), ROWS_AT_ONCE):
+                rows = batch.iloc[k : k + ROWS_AT_ONCE]
                 found = words.encode(["" if t is None else t for t in rows["text"]])
                 for doc, own in zip(rows["doc_id"], found):
                     docs.append(None if pd.isna(doc) else int(doc))

@@ -335,6 +335,22 @@ def test_words_equal_the_library():
         assert ids.tolist() == [*words_.tokenizer.encode(text, add_special_tokens=False).ids, token_files.END]
 
 
+def test_token_files_look_a_word_of_a_batch_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return super().__getitem__(word)
+
+    words_ = token_files.Words(token_files.TOKENIZER)
+    words_.known = Counted()
+    texts = [" the same words\x0b\tthe same\x1c words, \n", "the " * 500, "", " ", "a <|endoftext|> b", "\ud800".encode("utf-8", "replace").decode(), "é É\x85x"] * 20
+    for text, ids in zip(texts, words_.encode(texts)):
+        assert ids.tolist() == [*words_.tokenizer.encode(text, add_special_tokens=False).ids, token_files.END]
+    assert Counted.asked < 50
+
+
 @pytest.mark.parametrize("n", [1, 31, 33, token_files.BLOCK, token_files.BLOCK + 1])
 def test_rans_round_trip_and_checksum(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.2, n), 49_000).astype(np.uint32)

@@ -202,3 +202,20 @@ def test_hot_groups_are_counted_from_the_given_sizes(spark):
     assert per_group(broken, ["k"], ["valid_from", "change_id"], work, hot_rows=10_000, sizes=named).columns[-1] == "n"
     plain = per_group(rows, ["k"], ["valid_from", "change_id"], work, hot_rows=None)
     assert same(plain, per_group(rows, ["k"], ["valid_from", "change_id"], work, sizes=named, **SMALL))
+
+
+@pytest.mark.parametrize("hot_rows", [None, 20])
+def test_digests_do_not_cross_the_exchange_of_the_asof_join(spark, hot_rows):
+    events = spark.range(300).select(
+        F.when(F.col("id") % 50 != 0, F.col("id") % 7).alias("k"), F.expr("timestamp_seconds(id * 100)").alias("at"),
+        (F.col("id") % 3).cast("int").alias("price"), F.col("id").alias("n"),
+    )
+    dim = scd2.scd2(events, scd2.Scd2(keys=["k"], tracked=["price"], valid_from="at", tiebreak=["n"], key_name="price_key"))
+    facts = spark.range(200).select("id", F.when(F.col("id") % 40 != 0, (F.col("id") % 9).cast("int")).alias("item"), F.expr("timestamp_seconds(id * 149 - 5)").alias("ts"))
+    given = facts, dim, "item", "ts", "k", ["price", "price_key"], ["id"]
+    expected = pit_join(*given[:-1])
+    found = point_in_time(*given, method="asof", key_attribute="price_key", hot_rows=hot_rows, chunk_rows=10)
+    assert same(expected, found) and expected.where("price_key is not null").count() > 50
+    if hot_rows is None:
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "md5(" in plan and "md5(" not in plan[plan.index("Window") :]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronomart.llm.common import stored
-from chronomart.llm.shingles import SPACES, mixed, word_hashes
+from chronomart.llm.shingles import mixed, together, words_of_all
 
 HOT_BITS = 16
 #: Classes: the end, OWN frequent words, ENDINGS shared ones.
@@ -49,37 +49,38 @@ CACHED, SAFE = 512, 40
 #: Rows of a run of equal features that are added step by step with those of all other runs.
 STEPS = 32
 
-_SPACE = np.zeros(256, bool)
-_SPACE[list(SPACES)] = True
+_FIRST = 1 + np.cumsum((0, *KINDS))
+#: What is hashed from a few values has a table: the shared class by a word's last two bytes, rows by two classes.
+_ENDING = (mixed(np.arange(1 << 16, dtype=np.uint64), 5) % np.uint64(ENDINGS)).astype(np.uint8)
+_PAIR, _SKIP = (
+    (mixed(np.arange(CLASSES**2, dtype=np.uint64), salt) % np.uint64(KINDS[k]) + np.uint64(_FIRST[k])).astype(np.uint16) for k, salt in ((1, 11), (3, 12))
+)
 
 
-def ending_classes(text: str | None) -> np.ndarray:
-    """The shared class of each word, from its last two bytes."""
-    chars = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
-    inside = ~_SPACE[chars]
-    ends = np.flatnonzero(inside & ~np.append(inside[1:], False))
-    before = np.where((ends > 0) & inside[ends - 1], chars[ends - 1], 0).astype(np.uint64)
-    return (mixed(chars[ends].astype(np.uint64) + before * np.uint64(256), 5) % np.uint64(ENDINGS)).astype(np.uint8)
-
-
-def features(classes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """(kinds, tokens) rows of the weight table for each token of one document, the end included.
+def features(classes: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token of documents with so many words, their ends included: (kinds, tokens) rows of the weight table, and its class.
 
     Row 0 of the table, which is always on, is left out. The history before the first
-    word is filled with the end.
+    word of a document is filled with the end.
     """
-    c = np.concatenate([np.zeros(3, np.int64), classes.astype(np.int64)])
-    h = np.concatenate([np.full(3, END_HASH, np.uint64), hashes])
-    n = len(classes)
-    c1, c2, c3, h1, h2 = c[2 : 2 + n], c[1 : 1 + n], c[:n], h[2 : 2 + n], h[1 : 1 + n]
-    pair = mixed((c1 * CLASSES + c2).astype(np.uint64), 11)
-    skip = mixed((c2 * CLASSES + c3).astype(np.uint64), 12)
-    out = np.zeros((len(KINDS), n), np.uint16)
-    at = 1
-    for k, (values, width) in enumerate(zip((c1, pair, mixed(h1, 13), skip, mixed(h2, 14)), KINDS)):
-        out[k] = values.astype(np.uint64) % np.uint64(width) + np.uint64(at)
-        at += width
-    return out
+    # Each document has three ends before its words and one after them.
+    lead = 4 * np.arange(len(counts))
+    at = np.arange(len(classes)) + np.repeat(lead + 3, counts)
+    c, h = np.zeros(len(classes) + 4 * len(counts), np.uint16), np.full(len(classes) + 4 * len(counts), END_HASH)
+    c[at], h[at] = classes, hashes
+    token = np.ones(len(c), bool)
+    token[(lead + np.cumsum(counts) - counts)[:, None] + np.arange(3)] = False
+    token = np.flatnonzero(token)
+    two = c * np.uint16(CLASSES)
+    two[1:] += c[:-1]
+    out = np.empty((len(KINDS), len(token)), np.uint16)
+    before, last = token - 1, token - 2
+    out[0] = c[before] + np.uint16(_FIRST[0])
+    out[1] = _PAIR[two[before]]
+    out[2] = ((mixed(h, 13) & np.uint64(KINDS[2] - 1)).astype(np.uint16) + np.uint16(_FIRST[2]))[before]
+    out[3] = _SKIP[two[last]]
+    out[4] = ((mixed(h, 14) & np.uint64(KINDS[4] - 1)).astype(np.uint16) + np.uint16(_FIRST[4]))[last]
+    return out, c[token].astype(np.int64)
 
 
 def run_sums(values: np.ndarray, first: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
@@ -138,7 +139,7 @@ def update(w: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     key = key[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     count = np.diff(np.append(first, len(key)))[:, None]
-    w[key[first]] -= run_sums(error, first, order % len(target)) * (RATE / (count + 4)).astype(np.float32)
+    w[key[first]] -= run_sums(error, first, np.tile(np.arange(len(target)), len(rows))[order]) * (RATE / (count + 4)).astype(np.float32)
 
 
 class Model:
@@ -151,7 +152,7 @@ class Model:
         top = np.lexsort((self.hot, -self.counts))[:OWN]
         own = np.zeros(len(self.hot), np.int64)
         own[top] = np.arange(1, 1 + len(top))
-        self.own = own
+        self.own = np.append(own, 0)
         z = np.ones(CLASSES)
         z[0] += train_docs + (train_docs > 0)
         z[1 : 1 + len(top)] += self.counts[top] + 1
@@ -166,15 +167,15 @@ class Model:
         w[0] = self.start
         return w
 
-    def read(self, text: str | None):
-        """(hashes, classes, place among the hot words or -1) of the words of a text."""
-        hashes = word_hashes(text)
-        at = np.minimum(np.searchsorted(self.hot, hashes), max(len(self.hot) - 1, 0))
-        found = self.hot[at] == hashes if len(self.hot) else np.zeros(len(hashes), bool)
-        classes = 1 + OWN + ending_classes(text).astype(np.int64)
-        own = self.own[at[found]] if len(self.hot) else np.zeros(0, np.int64)
-        classes[found] = np.where(own > 0, own, classes[found])
-        return hashes, classes, np.where(found, at, -1)
+    def read(self, texts: list[str | None]):
+        """(hashes, classes, place among the hot words or -1) of the words of all texts, and how many words each text has."""
+        hashes, tails, counts = words_of_all(texts)
+        place = np.full(len(hashes), -1)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, hashes), len(self.hot) - 1)
+            place = np.where(self.hot[at] == hashes, at, -1)
+        own = self.own[place]
+        return hashes, np.where(own > 0, own, 1 + OWN + _ENDING[tails].astype(np.int64)), place, counts
 
 
 def _count(shard_bits: int):
@@ -191,10 +192,10 @@ def _count(shard_bits: int):
         u, c, e = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
         for batch in batches:
             for k in range(0, len(batch), CHUNK):
-                texts = batch["text"].iloc[k : k + CHUNK]
-                both = np.concatenate([u, *map(word_hashes, texts)])
+                found = [words_of_all(texts) for texts in together(batch["text"].iloc[k : k + CHUNK])]
+                both = np.concatenate([u, *[hashes for hashes, _, _ in found]])
                 count = np.concatenate([c, np.ones(len(both) - len(c), np.int64)])
-                ending = np.concatenate([e, *map(ending_classes, texts)])
+                ending = np.concatenate([e, *[_ENDING[tails] for _, tails, _ in found]])
                 u, first, inverse = np.unique(both, return_index=True, return_inverse=True)
                 c, e = np.bincount(inverse, count, len(u)).astype(np.int64), ending[first]
                 if len(u) > 1 << 21:
@@ -246,15 +247,19 @@ def _train(model, weights):
             tokens += len(y)
 
         for batch in batches:
-            for text in batch["text"]:
-                hashes, classes, _ = m.read(text)
-                classes = np.append(classes, 0)
-                rows.append(features(classes, np.append(hashes, END_HASH)))
-                target.append(classes)
-                held += len(classes)
-                if held >= 16 * BATCH:
-                    flush()
-                    rows, target, held = [], [], 0
+            for texts in together(batch["text"]):
+                hashes, classes, _, counts = m.read(texts)
+                x, y = features(classes, hashes, counts)
+                start = 0
+                for end in np.cumsum(counts + 1):
+                    if held + end - start >= 16 * BATCH:
+                        rows.append(x[:, start:end])
+                        target.append(y[start:end])
+                        flush()
+                        rows, target, held, start = [], [], 0, end
+                rows.append(x[:, start:])
+                target.append(y[start:])
+                held += len(y) - start
         if held:
             flush()
         if tokens:
@@ -292,32 +297,36 @@ def _score(model, weights, shard_bits: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, w = model.value, weights.value
+        log_counts = np.append(m.log_counts, 0)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for k in range(0, len(batch), DOCS):
                 part = batch.iloc[k : k + DOCS]
                 block += 1
-                sizes, places, rare, whose = [], [], [], []
-                scores = []
-                for j, text in enumerate(part["text"]):
-                    hashes, classes, place = m.read(text)
-                    classes = np.append(classes, 0)
-                    x = features(classes, np.append(hashes, END_HASH))
-                    total = 0.0
-                    for at in range(0, len(classes), BATCH):
-                        _, sums, own = exponentials(w, x[:, at : at + BATCH], classes[at : at + BATCH])
-                        total += float((own - np.log(sums)).astype(np.float64).sum())
-                    scores.append(total / math.log(10) - float(m.log_z[classes].sum()))
-                    hot = place[place >= 0]
-                    sizes.append(len(classes))
-                    places.append((len(hot) + (m.end > 0), int(m.log_counts[hot].sum()) + round(math.log10(m.end + 1) * UNIT)))
-                    cold = hashes[place < 0]
-                    rare.append(cold)
-                    whose.append(np.full(len(cold), j, np.uint64))
+                sizes, known, logs, scores, rare, whose, done = [], [], [], [], [], [], 0
+                for texts in together(part["text"]):
+                    hashes, classes, place, counts = m.read(texts)
+                    x, y = features(classes, hashes, counts)
+                    each = np.empty(len(y))
+                    for at in range(0, len(y), BATCH):
+                        _, sums, own = exponentials(w, x[:, at : at + BATCH], y[at : at + BATCH])
+                        each[at : at + BATCH] = own - np.log(sums)
+                    ends = np.cumsum(counts)
+                    first = ends - counts + np.arange(len(counts))
+                    scores.append(np.add.reduceat(each, first) / math.log(10) - np.add.reduceat(m.log_z[y], first))
+                    cold = place < 0
+                    so_far = np.cumsum([np.append(0, ~cold), np.append(0, np.where(cold, 0, log_counts[place]))], 1)
+                    of_all = so_far[:, ends] - so_far[:, ends - counts]
+                    sizes.append(counts + 1)
+                    known.append(of_all[0] + (m.end > 0))
+                    logs.append(of_all[1] + round(math.log10(m.end + 1) * UNIT))
+                    rare.append(hashes[cold])
+                    whose.append(np.repeat(np.arange(done, done + len(counts), dtype=np.uint64), counts)[cold])
+                    done += len(counts)
                 yield pd.DataFrame({
                     "block": block, "docs": len(part), "idx": np.arange(len(part)), "doc_id": part["doc_id"].astype("Int64").values,
-                    "held_out": part["held_out"].values, "n_tokens": sizes, "known": [p[0] for p in places],
-                    "logs": [p[1] for p in places], "model": scores,
+                    "held_out": part["held_out"].values, "n_tokens": np.concatenate(sizes), "known": np.concatenate(known),
+                    "logs": np.concatenate(logs), "model": np.concatenate(scores),
                 }).reindex(columns=BLOCKS.names).astype({"shard": "Int64"})
                 words = np.concatenate(rare)
                 u, inverse = np.unique(words, return_inverse=True)

@@ -17,7 +17,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from chronomart.llm import (
-    bpe, embedding_dedup, exact_dedup, html_extract, jaccard_join, maxent_lm, mixing, quality, queries, token_files, url_filter,
+    bpe, embedding_dedup, exact_dedup, html_extract, jaccard_join, maxent_lm, mixing, quality, queries, shingles, token_files,
+    url_filter,
 )
 from chronomart.llm.html_blocks import blocks
 
@@ -424,6 +425,33 @@ def test_language_model_scores_do_not_follow_the_files(spark, sf, monkeypatch):
     assert all(abs(a - found[1][i]) <= 1e-6 * abs(a) for i, a in found[0].items())
 
 
+def test_words_of_texts_read_together():
+    texts = [*ODD, None, "ab\tc " * 300_000, "", "é"]
+    hashes, tails, counts = shingles.words_of_all(texts)
+    assert counts.tolist() == [len(words(t)) for t in texts]
+    assert np.array_equal(hashes, np.concatenate([shingles.word_hashes(t) for t in texts]))
+    last = [b"\x00" * (len(w) < 2) + w[-2:] for t in texts for w in (x.encode() for x in words(t))]
+    assert tails.tolist() == [int.from_bytes(x, "big") for x in last]
+    assert [t for some in shingles.together(texts, 4000) for t in some] == texts
+    assert shingles.words_of_all([""])[2].tolist() == [0]
+
+
+def test_features_of_documents_together():
+    rng = np.random.default_rng(6)
+    counts = np.array([0, 3, 0, 1, 40, 2, 0])
+    classes, hashes = rng.integers(1, maxent_lm.CLASSES, counts.sum()), rng.integers(0, 1 << 63, counts.sum()).astype(np.uint64)
+    found, target = maxent_lm.features(classes, hashes, counts)
+    row = lambda x, salt, k: 1 + sum(maxent_lm.KINDS[:k]) + int(shingles.mixed(np.array([x], np.uint64), salt)[0]) % maxent_lm.KINDS[k]
+    want, wanted = [], []
+    for end, n in zip(np.cumsum(counts), counts):
+        c, h = [0, 0, 0, *classes[end - n : end], 0], [maxent_lm.END_HASH] * 3 + [*hashes[end - n : end], maxent_lm.END_HASH]
+        for i in range(3, len(c)):
+            one, two, three = (int(x) for x in (c[i - 1], c[i - 2], c[i - 3]))
+            want.append([1 + one, row(one * 64 + two, 11, 1), row(h[i - 1], 13, 2), row(two * 64 + three, 12, 3), row(h[i - 2], 14, 4)])
+            wanted.append(c[i])
+    assert found.T.tolist() == want and target.tolist() == wanted
+
+
 def test_sums_of_runs():
     rng = np.random.default_rng(3)
     for n in (1, 2, 7, 1000):

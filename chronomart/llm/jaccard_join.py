@@ -31,6 +31,8 @@ from chronomart.llm.shingles import mixed, shingle_set, word_hashes
 #: collisions only make the order, and so the candidates, worse, never the result.
 SKETCH_BITS = 20
 SEGMENT = 1 << 14
+#: Segments that a worker sends at once, 1 MB.
+SENT = 8
 #: Documents whose sets a worker holds at once.
 STEP = 1000
 #: Bits of the map that tells apart documents to be verified; beyond that many more are read than needed.
@@ -89,11 +91,13 @@ def _mark(k: int):
             )
         parts = counts.reshape(-1, SEGMENT)
         used = np.flatnonzero(parts.any(1))
-        empty = pd.array([None] * len(used), "Int64")
-        yield pd.DataFrame({
-            "doc_id": empty, "n": empty, "c1": empty, "c2": empty, "segment": pd.array(used, "Int32"),
-            "counts": [parts[i].tobytes() for i in used],
-        })
+        for at in range(0, len(used), SENT):
+            some = used[at : at + SENT]
+            empty = pd.array([None] * len(some), "Int64")
+            yield pd.DataFrame({
+                "doc_id": empty, "n": empty, "c1": empty, "c2": empty, "segment": pd.array(some, "Int32"),
+                "counts": [parts[i].tobytes() for i in some],
+            })
 
     return run
 

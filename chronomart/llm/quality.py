@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronomart.llm.common import named_back, renamed, stored
+from chronomart.llm.common import named_back, renamed, small_batches, stored
 from chronomart.llm.shingles import mixed, word_hashes
 
 #: Documents on which the linear scorer is trained. The counts behind the labels cover all documents.
@@ -187,13 +187,15 @@ def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", seed: int = 3):
     """(weights of the scorer, share of junk, accuracies of the labellers)."""
     texts = docs.select(F.xxhash64(F.lit(seed), F.col(id_col)).alias("at"), F.col(text_col).alias("text"))
-    voted = stored(texts.mapInPandas(_vote, "at long, pattern string"), "votes")
+    with small_batches(docs.sparkSession):
+        voted = stored(texts.mapInPandas(_vote, "at long, pattern string"), "votes")
     counts = {r.pattern: r["count"] for r in voted.groupBy("pattern").count().collect()}  # at most 3 ** labellers rows
     prior, table, junk = em(counts)
     n = sum(counts.values())
     limit = -(2**63) + int(2**64 * min(1.0, sample / n)) - 1 if n else 0
     chosen = texts.where(F.col("at") <= limit).mapInPandas(_featured, "pattern string, bins array<int>, values array<double>")
-    rows = chosen.orderBy(F.xxhash64("bins", "values")).limit(2 * sample).collect()
+    with small_batches(docs.sparkSession):
+        rows = chosen.orderBy(F.xxhash64("bins", "values")).limit(2 * sample).collect()
     return fit([dict(zip(r.bins, r["values"])) for r in rows], np.array([junk[r.pattern] for r in rows])), prior, table
 
 
@@ -201,11 +203,12 @@ def judged(docs: DataFrame, weights: np.ndarray, text_col: str = "text", column:
     """``docs`` with the scorer's probability of junk."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("double")
-    def junk(texts: pd.Series) -> pd.Series:
+    # Texts are judged one by one. Spark sends them to a plain function by the hundred, whatever the settings of the caller.
+    @F.udf("double", useArrow=False)
+    def junk(text: str | None) -> float:
         w = shared.value
-        z = [sum(w[k] * v for k, v in hashed(*measures(text)).items()) for text in texts]
-        return pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))), dtype="float64")
+        z = sum(w[k] * v for k, v in hashed(*measures(text)).items())
+        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
     return docs.withColumn(column, junk(F.col(text_col)))
 

@@ -11,13 +11,14 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from chronomart.llm import (
-    bpe, embedding_dedup, exact_dedup, html_extract, jaccard_join, maxent_lm, mixing, quality, queries, shingles, token_files,
+    bpe, common, embedding_dedup, exact_dedup, html_extract, jaccard_join, maxent_lm, mixing, quality, queries, shingles, token_files,
     url_filter,
 )
 from chronomart.llm.html_blocks import blocks
@@ -504,6 +505,40 @@ def test_odd_pages_and_vectors_of_empty_tables(spark):
     assert [r.text for r in html_extract.extract(odd).collect()] == ["", "", ""]
 
 
+def test_batches_of_long_rows_stay_small(spark):
+    before = {name: spark.conf.get(name) for name in (common.BATCH, common.BATCH_BYTES)}
+
+    def lengths(batches):
+        for batch in batches:
+            yield batch.iloc[:1].assign(text="", n=len(batch))
+
+    rows = spark.range(0, 64, 1, 1).select(F.expr("repeat('x', 1000000)").alias("text"))
+    with common.small_batches(spark):
+        assert max(r.n for r in rows.mapInPandas(lengths, "text string, n long").collect()) <= 8
+    assert before == {name: spark.conf.get(name) for name in before}
+
+
+def test_quality_reads_small_batches(spark, odd, monkeypatch):
+    seen = []
+
+    def spied(df, name):
+        seen.append((name, int(spark.conf.get(common.BATCH))))
+        return common.stored(df, name)
+
+    monkeypatch.setattr(quality, "stored", spied)
+    kept = quality.keep_good(odd)
+    assert seen == [("votes", 1000)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "Arrow" not in plan
+
+
+def test_sketch_leaves_a_worker_in_parts():
+    texts = [" ".join(f"w{i}-{j}" for j in range(300)) for i in range(60)]
+    frames = list(jaccard_join._mark(5)(iter([pd.DataFrame({"doc_id": range(60), "text": texts})])))[1:]
+    assert sum(len(f) for f in frames) == 64 and max(sum(map(len, f["counts"])) for f in frames) <= 1 << 20
+    assert sum(np.frombuffer(c, np.int64).sum() for f in frames for c in f["counts"]) == 60 * 296
+
+
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns = docs.columns

@@ -231,31 +231,40 @@ def candidates_of_leaders(lists: DataFrame, placed: DataFrame, turn: int, percen
 
 
 def close_enough(percent: int) -> str:
-    """SQL: may two groups with signatures a, b be similar? Unequal bits are at most the shingles that only one set has."""
-    unequal = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in SIGNATURE)
-    return f"coalesce({100 + percent} * ({unequal}) <= {100 - percent} * (n_a + n_b), true)"
+    """SQL: may two groups with signatures a, b be similar? Unequal bits are at most the shingles that only one set has.
+
+    Counts are doubles here, exact for any set of fewer than 2 ** 44 shingles: sums of integers are checked for overflow
+    one by one, and to compile that many checks in one join took an executor more than 100 MB that it did not give back.
+    """
+    unequal = " + ".join(f"double(bit_count({c}_a ^ {c}_b))" for c in SIGNATURE)
+    return f"(several_a or several_b or {100 + percent}D * ({unequal}) <= {100 - percent}D * (double(n_a) + double(n_b)))"
+
+
+def worth_comparing(percent: int) -> str:
+    """SQL: may groups a, b that share a token have similar sets in different components? Each pair in one order only."""
+    return (
+        f"(n_a < n_b or n_a = n_b and gid_a < gid_b) and 100D * double(n_a) >= {percent}D * double(n_b) "
+        "and not (low_a = high_a and low_b = high_b and low_a = low_b) "
+        f"and {100 + percent}D * (double(least(pos_a, pos_b)) + least(double(n_a) - double(pos_a), double(n_b) - double(pos_b))) "
+        f">= {percent}D * (double(n_a) + double(n_b)) "
+        f"and {close_enough(percent)}"
+    )
 
 
 def candidates_across(lists: DataFrame, placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b): classes of different components whose groups share a prefix shingle and have close signatures, or are one group.
 
-    A group of several sets has no signature and is told apart by its members later.
+    A group of several sets is not told apart by a signature, but by its members later.
     """
     signed = classes.join(lists.select("gid").distinct(), "gid", "left_semi").groupBy("gid").agg(
-        *[F.when(F.count("*") == 1, F.first(c)).alias(c) for c in SIGNATURE]
+        (F.count("*") > 1).alias("several"), *[F.coalesce(F.first(c), F.lit(0).cast("long")).alias(c) for c in SIGNATURE]
     )
     lists = lists.join(signed, "gid")
-    fields = ("gid", "n", "low", "high", "pos", *SIGNATURE)
+    fields = ("gid", "n", "low", "high", "pos", "several", *SIGNATURE)
     leading = f"pos <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}"
     a = lists.where(leading).select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
     b = lists.select("token", *[F.col(c).alias(f"{c}_b") for c in fields])
-    near = (
-        f"(n_a, gid_a) < (n_b, gid_b) and 100 * n_a >= {percent} * n_b "
-        "and not (low_a = high_a and low_b = high_b and low_a = low_b) "
-        f"and {100 + percent} * (least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b)) >= {percent} * (n_a + n_b) "
-        f"and {close_enough(percent)}"
-    )
-    pairs = a.join(b, "token").where(near).select("gid_a", "gid_b").distinct()
+    pairs = a.join(b, "token").where(worth_comparing(percent)).select("gid_a", "gid_b").distinct()
     span = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     split = span.where("low < high").select(F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b"))
     left = placed.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("comp").alias("ca"))

@@ -82,6 +82,29 @@ def test_jaccard_join_loses_no_link(copies):
     assert {tuple(r) for r in found} == linked(rows) and len(found) == len(rows)
 
 
+def test_jaccard_join_compares_signatures_without_overflow_checks(spark, capsys, tmp_path):
+    """The join of groups is compiled to small code: its checked sums took an executor memory that stayed."""
+    signs = [[0] * 8, [255] + [0] * 7, [-1] * 8, [0] * 8, [1] * 8]
+    groups = [10, 11, 12, 13, 13]
+    classes = spark.createDataFrame(
+        [(g, i, *s) for i, (g, s) in enumerate(zip(groups, signs))], "gid long, node long, " + ", ".join(f"{c} long" for c in jaccard_join.SIGNATURE)
+    )
+    placed = classes.select("gid", "node", F.col("node").alias("comp"))
+    span = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    lists = span.selectExpr("7L as token", "gid", "100L as n", "0 as pos", "low", "high")
+    found = jaccard_join.candidates_across(lists, placed, classes, 80)
+    # 8 unequal bits leave room for the similarity, 512 don't; a group of several sets is compared with all, and inside.
+    assert sorted(map(tuple, found.collect())) == [(0, 1), (0, 3), (0, 4), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)]
+    columns = ["gid", "n", "low", "high", "pos", *jaccard_join.SIGNATURE]
+    pair = spark.range(1).selectExpr(*[f"id as {c}_{x}" for c in columns for x in "ab"], *[f"id > 7 as several_{x}" for x in "ab"])
+    pair.write.parquet(f"{tmp_path}/pair")
+    pair = spark.read.parquet(f"{tmp_path}/pair")
+    for condition in ("close_enough", "worth_comparing"):
+        pair.where(getattr(jaccard_join, condition)(80)).explain("codegen")
+        code = capsys.readouterr().out
+        assert "bitCount(" in code and "Exact(" not in code
+
+
 def test_exact_dedup_matches_sql(spark, sf):
     found = Counter(map(tuple, queries.op4_exact_dedup(spark, sf).collect()))
     duck = duckdb.connect()

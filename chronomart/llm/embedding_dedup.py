@@ -5,7 +5,11 @@ Vectors are scaled to length one; equal vectors become one node. Nodes are place
 and stays near linear. Within a cell, every one of ``PROJECTIONS`` Gaussian projections
 is sorted, and for each vector the others inside a window around its own value collide
 with it. Pairs with enough collisions are verified by cosine in double precision. A
-pair is reported in the first table that holds both.
+pair counts in the first table that holds both.
+
+Pairs don't leave the block that finds them: a group of near copies has as many as the
+square of its size. A block gives one row for each node that it links: how many rows the
+node is linked with there, and the smallest node that it reaches there.
 
 For a pair at the threshold, a projection's difference is normal with a known standard
 deviation, which gives the window, the count that all but a hundredth of such pairs
@@ -32,13 +36,14 @@ WINDOW = 1.6
 MISS_COUNT, MISS_TABLES = 0.01, 0.01
 #: Nodes that a cell should hold on average, and nodes of a block where a cell holds more than two blocks.
 CELL, BLOCK = 192, 768
+#: Pairs that are verified at once.
+AT_ONCE = 1 << 15
 
-NODES = T.StructType([T.StructField("node", T.LongType()), T.StructField("v", T.BinaryType())])
 PLACED = T.StructType([
-    T.StructField("node", T.LongType()), T.StructField("v", T.BinaryType()), T.StructField("t", T.IntegerType()),
-    T.StructField("cell", T.LongType()),
+    T.StructField("node", T.LongType()), T.StructField("v", T.BinaryType()), T.StructField("copies", T.LongType()),
+    T.StructField("t", T.IntegerType()), T.StructField("cell", T.LongType()),
 ])
-PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "linked", "root")])
 
 
 def calibrated(n: int, cosine: float) -> tuple[int, int, float, int]:
@@ -93,11 +98,26 @@ def _place(dim: int, bits: int, tables: int, seed: int):
             if len(batch):
                 cells = space.cells(_vectors(batch["v"], dim))
                 for t in range(tables):
-                    yield pd.DataFrame({"node": batch["node"], "v": batch["v"], "t": np.int32(t), "cell": cells[:, t]})
+                    yield pd.DataFrame({**batch[["node", "v", "copies"]], "t": np.int32(t), "cell": cells[:, t]})
 
     return run
 
 
+def reached(i: np.ndarray, j: np.ndarray, size: int) -> np.ndarray:
+    """The smallest of 0 to ``size`` - 1 that each of them reaches over the links (i, j)."""
+    low = np.arange(size)
+    while True:
+        before = low.copy()
+        least = np.minimum(low[i], low[j])
+        np.minimum.at(low, before[i], least)
+        np.minimum.at(low, before[j], least)
+        np.minimum.at(low, i, least)
+        np.minimum.at(low, j, least)
+        low = low[low]
+        if (low == before).all():
+            return low
+
+
 def _collide(dim: int, bits: int, tables: int, seed: int, window: float, count: int, cosine: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         space, t = Geometry(dim, bits, tables, seed), int(rows["t"].iloc[0])
@@ -119,18 +139,25 @@ def _collide(dim: int, bits: int, tables: int, seed: int, window: float, count:
         i, j = left[i], right[j]
         if side[0] == 0:
             i, j = i[i < j], j[i < j]
-        found = np.einsum("ij,ij->i", v[i], v[j]) >= cosine
-        i, j = i[found], j[found]
-        cells = space.cells(v)[:, :t]
-        new = ~(cells[i] == cells[j]).any(axis=1)
-        a, b = nodes[i[new]], nodes[j[new]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        cells, near = space.cells(v)[:, :t], np.zeros(len(i), bool)
+        for at in range(0, len(i), AT_ONCE):
+            a, b = i[at : at + AT_ONCE], j[at : at + AT_ONCE]
+            new = (np.einsum("ij,ij->i", v[a], v[b]) >= cosine) & ~(cells[a] == cells[b]).any(axis=1)
+            near[at : at + AT_ONCE] = new
+        i, j = i[near], j[near]
+        copies, linked = rows["copies"].to_numpy(), np.zeros(len(nodes), np.int64)
+        np.add.at(linked, i, copies[j])
+        np.add.at(linked, j, copies[i])
+        met = np.flatnonzero(linked)
+        return pd.DataFrame({"node": nodes[met], "linked": linked[met], "root": nodes[reached(i, j, len(nodes))[met]]})
 
     return run
 
 
-def near_pairs(nodes: DataFrame, dim: int, n: int, cosine: float, seed: int) -> DataFrame:
-    """(a, b), a < b: nodes whose vectors have at least the cosine, each pair once.
+def near_links(nodes: DataFrame, dim: int, n: int, cosine: float, seed: int) -> DataFrame:
+    """(node, linked, root): in one block ``node`` is linked with ``linked`` rows and reaches ``root``, the smallest.
+
+    Nodes whose vectors have at least the cosine are linked; each pair counts in one block only.
 
     A cell of more than two blocks is cut by hash into blocks; every two blocks of it
     meet in one task, whose size is fixed.
@@ -141,10 +168,10 @@ def near_pairs(nodes: DataFrame, dim: int, n: int, cosine: float, seed: int) ->
     parts = F.when(F.col("held") <= 2 * BLOCK, F.lit(1)).otherwise(F.ceil(F.col("held") / BLOCK)).cast("int")
     sized = stored(sizes.select("t", "cell", parts.alias("parts")), "cells")
     rows = placed.join(sized, ["t", "cell"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    met = rows.select("node", "v", "t", "cell", F.expr("""inline(transform(sequence(0, parts - 1), p -> named_struct(
+    met = rows.select("node", "v", "copies", "t", "cell", F.expr("""inline(transform(sequence(0, parts - 1), p -> named_struct(
         'pi', least(p, part), 'pj', greatest(p, part), 'side', sign(part - p) * if(p = part, 0, 1))))"""))
     met = met.withColumn("side", F.col("side").cast("int"))
-    return met.groupBy("t", "cell", "pi", "pj").applyInPandas(_collide(dim, bits, tables, seed, window, count, cosine), PAIRS)
+    return met.groupBy("t", "cell", "pi", "pj").applyInPandas(_collide(dim, bits, tables, seed, window, count, cosine), LINKS)
 
 
 def embedding_dedup(vectors: DataFrame, cosine: float = 0.9, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -163,17 +190,15 @@ def embedding_dedup(vectors: DataFrame, cosine: float = 0.9, seed: int = 5, id_c
     unit = stored(rows.mapInPandas(_unit, "id long, v binary"), "unit-vectors")
     nodes = unit.where("v is not null").groupBy("v").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
-    pairs = None
+    links = None
     for size, n in nodes.groupBy(F.octet_length("v")).count().collect():
-        own = near_pairs(nodes.where(F.octet_length("v") == size).select("node", "v"), size // 8, n, cosine, seed)
-        pairs = own if pairs is None else pairs.union(own)
-    if pairs is None:
+        own = near_links(nodes.where(F.octet_length("v") == size).select("node", "v", "copies"), size // 8, n, cosine, seed)
+        links = own if links is None else links.union(own)
+    if links is None:
         return unit.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    pairs = stored(pairs, "vector-pairs")
-    component = components(pairs)
-    both = pairs.union(pairs.select("b", "a"))
-    copies = nodes.select(F.col("node").alias("b"), "copies")
-    linked = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("linked"))
+    links = stored(links, "vector-links")
+    component = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    linked = links.groupBy("node").agg(F.sum("linked").alias("linked"))
     placed = nodes.join(linked, "node", "left").join(component, "node", "left")
     placed = placed.select("v", "copies", "least", "linked", F.coalesce("component", "node").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("least").alias("smallest"))

@@ -204,6 +204,28 @@ def test_embedding_hot_cell_is_split(spark, monkeypatch):
     assert {(x.n_links, x.component_id) for x in embedding_dedup.embedding_dedup(df).collect()} == {(89, 0)}
 
 
+def test_embedding_links_leave_a_block_by_node_not_by_pair(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "AT_ONCE", 7)
+    kept = {}
+
+    def spied(df, name):
+        kept[name] = common.stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(embedding_dedup, "stored", spied)
+    r = np.random.default_rng(3)
+    v = np.repeat(np.eye(16)[:3], 40, axis=0) + 0.01 * r.standard_normal((120, 16))
+    v = np.vstack([v, v[:5], -v[:1]])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    found = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in embedding_dedup.embedding_dedup(df).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    assert found == {i: (int(row.sum()) - 1, int(np.flatnonzero(row)[0]), i == np.flatnonzero(row)[0]) for i, row in enumerate(near)}
+    # 120 nodes; a cell of all of them is cut into 8 blocks, of which each meets each.
+    assert kept["vector-links"].count() <= 8 * 120 < (near.sum() - len(v)) / 2
+
+
 def test_html_extraction_of_whole_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
     found = {r.page_id: r for r in html_extract.extract(spark.read.parquet(f"{sf}/pages.parquet")).collect()}

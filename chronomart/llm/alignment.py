@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronomart.llm.common import stored
+from chronomart.llm.common import small_batches, stored
 from chronomart.llm.encoders import BYTE_BPE, PIECE_BPE, ByteBpe, PieceBpe, byte_bpe, piece_bpe
 
 #: A block ends with the document that brings it to so many bytes.
 BLOCK = 4 << 20
+#: A block is aligned in pieces that end with the document that brings them to so many bytes: what a worker holds at once.
+PIECE = 1 << 18
 #: An id pair is a << SIDE | b: ids of B are below 2 ** SIDE.
 SIDE = 16
 
@@ -95,8 +97,30 @@ class Aligner:
                 a_ids[i], b_ids[i] = a.astype(np.int64), np.array(b, np.int64)
         return a_ids, b_ids
 
-    def block(self, texts: list[str | None]) -> dict[str, object]:
+    def block(self, texts: list[str | None], piece_bytes: int = PIECE) -> dict[str, object]:
         """Everything about a block that needs no other block."""
+        pieces, first, held = [], 0, 0
+        for stop, text in enumerate(texts, 1):
+            held += len(text or "")
+            if held >= piece_bytes or stop == len(texts):
+                pieces.append(self.piece(texts[first:stop]))
+                first, held = stop, 0
+        pairs, place = np.unique(np.concatenate([p["pairs"] for p in pieces]), return_inverse=True)
+        counts = np.zeros(len(pairs), np.int64)
+        np.add.at(counts, place, np.concatenate([p["counts"] for p in pieces]))
+        wide = len(pairs) > 1 << 16
+        place, links, first = place.astype("<u4" if wide else "<u2"), [], 0
+        for p in pieces:
+            links.append(place[first : first + len(p["pairs"])][p["links"]].tobytes())
+            first += len(p["pairs"])
+        return {
+            **{c: np.concatenate([p[c] for p in pieces]) for c in ("n_a", "n_b", "n_groups", "n_links")},
+            "groups_sha256": [x for p in pieces for x in p["groups_sha256"]],
+            "links": b"".join(links), "wide": wide, "pairs": pairs, "counts": counts,
+        }
+
+    def piece(self, texts: list[str | None]) -> dict[str, object]:
+        """The same of some documents of a block; links are places in the pairs of the piece."""
         a_ids, b_ids = self.tokens(texts)
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
         a, b = np.concatenate(a_ids), np.concatenate(b_ids)
@@ -121,11 +145,10 @@ class Aligner:
         for stop, n in zip(ends, (n_a + n_b).tolist()):
             text = b"".join([self.names[c] for c in code[stop - n : stop].tolist()])
             digests.append(sha256(text[:-1]).hexdigest() if n else "")
-        wide = len(pairs) > 1 << 16
         return {
             "n_a": n_a, "n_b": n_b, "n_groups": _sum_by(a_last, a_ends),
             "n_links": np.diff(np.searchsorted(a_link, a_ends, "left"), prepend=0), "groups_sha256": digests,
-            "links": links.astype("<u4" if wide else "<u2").tobytes(), "wide": wide, "pairs": pairs, "counts": counts,
+            "links": links.astype(np.min_scalar_type(len(pairs))), "pairs": pairs, "counts": counts,
         }
 
 
@@ -175,7 +198,8 @@ def aligned_blocks(
 ) -> DataFrame:
     """One stored row per block of documents: their groups, their links as places in ``pairs``, and how often the block links each pair."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return stored(rows.mapInPandas(_blocks(a_path, b_path, block_bytes), BLOCKS), "alignment", compression="zstd")
+    with small_batches(docs.sparkSession):
+        return stored(rows.mapInPandas(_blocks(a_path, b_path, block_bytes), BLOCKS), "alignment", compression="zstd")
 
 
 def _block_pairs(blocks: DataFrame) -> DataFrame:

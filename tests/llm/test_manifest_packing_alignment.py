@@ -1,6 +1,7 @@
 """The Merkle manifest, packing and alignment against plain versions of themselves, and their odd cases."""
 
 import random
+import tracemalloc
 from collections import Counter
 from hashlib import sha256
 from itertools import groupby
@@ -306,3 +307,24 @@ def test_wide_blocks_number_their_pairs_in_four_bytes():
     wide = aligner.block(texts)
     links = np.frombuffer(wide["links"], "<u4" if wide["wide"] else "<u2")
     assert len(links) == sum(wide["n_links"]) and np.bincount(links).tolist() == wide["counts"].tolist()
+
+
+def test_a_block_is_aligned_piece_by_piece(spark, sf):
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    texts = [*ODD, *texts, None, "", None]
+    aligner = alignment.Aligner(byte_bpe(BYTE_BPE), piece_bpe(PIECE_BPE))
+    whole, pieces = aligner.block(texts, 1 << 40), aligner.block(texts, 2000)
+    for k, v in whole.items():
+        assert np.array_equal(pieces[k], v) if isinstance(v, np.ndarray) else pieces[k] == v, k
+    alone = aligner.block([None], 1)
+    assert alone["n_links"].tolist() == [0] and alone["links"] == b"" and alone["groups_sha256"] == [""]
+
+    def peak(size):
+        tracemalloc.start()
+        aligner.block(["One more word for all of us here. " * 300] * size)
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        return most
+
+    # The links that a block gives grow with it, what it takes to find them doesn't.
+    assert peak(160) < 3 * peak(40)

@@ -160,6 +160,23 @@ def test_overlapping_windows_give_the_pairs_of_the_interval_join(spark, shape, h
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize("narrow", [0, 4, 1000])
+def test_narrow_and_wide_keys_of_overlapping_windows_give_the_same_rows(spark, monkeypatch, narrow):
+    monkeypatch.setattr(joins, "NARROW", narrow)
+    fact, dim = overlapping(spark, 6, 12, 200, 60, 40)
+    attributes = ["name", "valid_to"]
+    want = joins.pit_join(fact, dim.withColumn("ends", F.col("valid_to")), "k", "at", "k", ["name", "ends"])
+    got = joins.overlap_join(fact, dim, "k", "at", "k", attributes, ["id"])
+    assert got.columns == [*fact.columns, *attributes]
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_narrow_keys_of_overlapping_windows_cross_one_exchange_a_side(spark):
+    fact, dim = overlapping(spark, 7, 50, 300, 80, 10)
+    plan = joins.overlap_join(fact, dim, "k", "at", "k", ["name"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 2 and "Generate" not in plan
+
+
 def test_a_hot_key_costs_its_matches(spark):
     """One key, 10,000 versions and 10,000 facts: the join makes as many rows as there are matches."""
     dim = spark.range(10_000).selectExpr(

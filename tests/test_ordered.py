@@ -1,15 +1,17 @@
 """Hot groups in chunks give what the plain window gives."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from chronomart.operators import joins, quality, scd2
+from chronomart.operators import facts, joins, quality, scd2
 from chronomart.operators.diff import diff_counts
 from chronomart.operators.joins import asof_join, pit_join, point_in_time
 from chronomart.operators.ordered import per_group
+from chronomart.sources.scratch import shuffles_dropped
 
 SMALL = {"hot_rows": 40, "chunk_rows": 25}
 
@@ -177,6 +179,40 @@ def test_narrow_keys_of_overlapping_windows_cross_one_exchange_a_side(spark):
     assert plan.count("Exchange") <= 2 and "Generate" not in plan
 
 
+@pytest.mark.parametrize("narrow", [0, 20, 1000])
+def test_items_take_the_version_of_their_time_whether_a_product_has_few_or_many(spark, monkeypatch, narrow):
+    monkeypatch.setattr(joins, "NARROW", narrow)
+    events = log(spark, 11).selectExpr("bigint(k) AS product_id", "p AS category", "double(change_id % 7) AS price", "q AS name", "valid_from", "valid_from AS captured_at", "change_id")
+    dim = scd2.dim_products_scd2(events, hot_rows=None)
+    dated = log(spark, 12).selectExpr(
+        "change_id AS order_item_id", "1L AS order_id", "bigint(k) AS product_id", "2L AS customer_id", "valid_from AS order_date",
+        "p AS status", "1 AS quantity", "1.5D AS unit_price", "1.5D AS item_subtotal",
+    )
+    found = facts.keyed_items(dated, dim, widths=events.select("product_id"))
+    assert same(facts.keyed_items(dated, dim, "interval"), found)
+    assert found.filter("product_key IS NOT NULL").count() > 100
+    if narrow == 1000:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 2 and plan.count("Window [") <= 2
+
+
+def test_shuffle_files_of_a_stored_step_are_dropped(spark, tmp_path):
+    def shuffled():
+        blocks = spark._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+        return {name for i in range(blocks.size()) if (name := blocks.apply(i).name()).startswith("shuffle")}
+
+    before = shuffled()
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(f"{tmp_path}/rows")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 1000
+    assert spark.range(1000).repartition(3, "id").count() == 1000 and shuffled() - before
+
+
 def test_a_hot_key_costs_its_matches(spark):
     """One key, 10,000 versions and 10,000 facts: the join makes as many rows as there are matches."""
     dim = spark.range(10_000).selectExpr(
